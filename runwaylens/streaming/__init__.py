@@ -1,0 +1,4 @@
+"""Empty on purpose: all inputs of this library are bounded tables.
+
+No operator here has event time, watermarks or state, so nothing is streamed.
+"""
