@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from runwaylens.schema import MISSING_TOKENS, MONTH_LABELS
+from runwaylens.schema import MISSING_TOKENS, MONTH_LABELS, WHITESPACE
 
 
 def as_column(c: str | Column) -> Column:
@@ -36,8 +36,8 @@ def to_flag(c: str | Column) -> Column:
 
 
 def strip_text(c: str | Column) -> Column:
-    """Remove all leading and trailing whitespace (``trim`` removes spaces only)."""
-    return F.regexp_replace(as_column(c), r"^\s+|\s+$", "")
+    """Remove all leading and trailing whitespace (plain ``trim`` removes spaces only)."""
+    return F.trim(as_column(c), F.lit(WHITESPACE))
 
 
 def strip_upper(c: str | Column) -> Column:

@@ -67,6 +67,17 @@ def typed_facts(raw: DataFrame) -> DataFrame:
     return typed(normalise_missing(present, codes))
 
 
+def evaluated_once(df: DataFrame) -> DataFrame:
+    """Same rows, with every column computed before anything downstream uses it.
+
+    The optimizer moves filters below projections by repeating the projected expression in
+    the filter, so parsing would run once per use. It does not move them below a generator,
+    here one that yields the row itself. Only for plans that need all columns, since it also
+    stops column pruning.
+    """
+    return df.select(F.inline(F.array(F.struct(*df.columns))))
+
+
 def clean_facts(raw: DataFrame) -> DataFrame:
     """Cleaned fact rows of a raw text table.
 
@@ -76,7 +87,7 @@ def clean_facts(raw: DataFrame) -> DataFrame:
     task before it shuffles, so even a row repeated in a third of the table is
     sent only once per task.
     """
-    kept = keep_delay_range(drop_missing_keys(typed_facts(raw)))
+    kept = keep_delay_range(drop_missing_keys(evaluated_once(typed_facts(raw))))
     return normalise_codes(kept).distinct()
 
 
@@ -98,7 +109,7 @@ def cleaning_report(raw: DataFrame) -> DataFrame:
     One scan and one shuffle. Removed rows carry only the name of their rule, so they
     melt into one group per rule and task.
     """
-    rows = typed_facts(raw)
+    rows = evaluated_once(typed_facts(raw))
     columns = rows.columns
     tagged = rows.withColumn("outcome", _outcome(columns))
     stays = F.col("outcome").isNull()

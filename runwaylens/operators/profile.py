@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from runwaylens.functions import clip, lookup, mean_from, month_label
@@ -189,6 +189,14 @@ def top_by_count(df: DataFrame, key: str = "origin", n: int = 20) -> DataFrame:
     return value_counts(df, key).limit(n)
 
 
+def _histogram_edges(c: str, limits: tuple[float, float], bins: int) -> Column:
+    """Aggregate: lower end and bin width of one column."""
+    lo, hi = clip(F.min(c), *limits), clip(F.max(c), *limits)
+    # A column with a single value gets half a unit on either side.
+    flat = F.when(lo == hi, F.lit(0.5)).otherwise(F.lit(0.0))
+    return F.struct((lo - flat).alias("lo"), ((hi + flat - (lo - flat)) / F.lit(bins)).alias("width"))
+
+
 def histogram(
     df: DataFrame,
     columns: Sequence[str] = ("dep_delay", "arr_delay"),
@@ -200,23 +208,15 @@ def histogram(
     Clipping keeps order, so the ends are the clipped minimum and maximum, and the value
     range needs no second aggregation per bin. Empty bins are listed with 0.
     """
-    ends = [
-        F.struct(clip(F.min(c), *limits).alias("lo"), clip(F.max(c), *limits).alias("hi")).alias(c) for c in columns
-    ]
-    seen = df.agg(F.struct(*ends)).scalar()
-
-    def edge(c: str, end: str):
-        # A column with a single value gets one unit around it.
-        flat = F.when(seen[c]["lo"] == seen[c]["hi"], F.lit(0.5)).otherwise(F.lit(0.0))
-        return seen[c][end] - flat if end == "lo" else seen[c][end] + flat
+    edges = {c: _histogram_edges(c, limits, bins) for c in columns}
+    seen = df.agg(F.struct(*[e.alias(c) for c, e in edges.items()])).scalar()
 
-    def bin_of(c: str):
-        width = (edge(c, "hi") - edge(c, "lo")) / F.lit(bins)
-        place = F.floor((clip(c, *limits) - edge(c, "lo")) / width)
-        return F.least(place, F.lit(bins - 1)).cast("int")
+    def bin_of(c: str) -> Column:
+        place = F.floor((clip(c, *limits) - seen[c]["lo"]) / seen[c]["width"])
+        return F.when(F.col(c).isNotNull(), F.least(place, F.lit(bins - 1)).cast("int"))
 
     found = (
-        df.select(*[F.when(F.col(c).isNotNull(), bin_of(c)).alias(c) for c in columns])
+        df.select(*[bin_of(c).alias(c) for c in columns])
         .unpivot([], list(columns), "column", "bin")
         .where("bin IS NOT NULL")
         .groupBy("column", "bin")
@@ -224,14 +224,16 @@ def histogram(
     )
     names = F.explode(F.array(*[F.lit(c) for c in columns])).alias("column")
     every = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"), names)
-    start = F.coalesce(*[F.when(F.col("column") == c, edge(c, "lo")) for c in columns])
-    end = F.coalesce(*[F.when(F.col("column") == c, edge(c, "hi")) for c in columns])
-    width = (end - start) / F.lit(bins)
-    return every.join(found, ["column", "bin"], "left").select(
-        "column",
-        "bin",
-        F.round(start + F.col("bin") * width, 4).alias("bin_start"),
-        F.coalesce("count", F.lit(0)).alias("count"),
+    edge = F.coalesce(*[F.when(F.col("column") == c, seen[c]) for c in columns])
+    return (
+        every.join(found, ["column", "bin"], "left")
+        .withColumn("edge", edge)
+        .select(
+            "column",
+            "bin",
+            F.round(F.col("edge.lo") + F.col("bin") * F.col("edge.width"), 4).alias("bin_start"),
+            F.coalesce("count", F.lit(0)).alias("count"),
+        )
     )
 
 

@@ -12,18 +12,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from runwaylens.functions import position_in, slowdown, speedup_tier
+from runwaylens.operators.joins import same_keys
 from runwaylens.schema import FULL_LABEL, RUN_KEY, SAMPLE_ORDER
 
 
 def with_group_figures(df: DataFrame, keys: Sequence[str], **figures: Column) -> DataFrame:
     """Attach aggregates of each group to its rows; NULL keys form a group too."""
-    groups = df.groupBy(*[F.col(k).alias(f"group_{k}") for k in keys]).agg(
+    names = [f"group_{k}" for k in keys]
+    groups = df.groupBy(*[F.col(k).alias(name) for k, name in zip(keys, names)]).agg(
         *[c.alias(name) for name, c in figures.items()]
     )
-    same = F.lit(True)
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"group_{k}"))
-    return df.join(groups, same).drop(*[f"group_{k}" for k in keys])
+    return df.join(groups, same_keys(keys, names)).drop(*names)
 
 
 def full_runs(runs: DataFrame) -> DataFrame:

@@ -18,6 +18,7 @@ from runwaylens.operators.grouping import (
     top_cause_columns,
     with_active_periods,
 )
+from runwaylens.operators.joins import same_keys
 from runwaylens.operators.ranking import (
     member_stats,
     member_totals,
@@ -113,7 +114,7 @@ def delay_report_null_safe(df: DataFrame, roles: Roles = FLIGHT_ROLES) -> DataFr
     causes = pivot_causes(rank_causes(cause_means(df, roles))).withColumnsRenamed(
         {"origin": "cause_origin", "month": "cause_month"}
     )
-    same = F.col("origin").eqNullSafe(F.col("cause_origin")) & F.col("month").eqNullSafe(F.col("cause_month"))
+    same = same_keys(["origin", "month"], ["cause_origin", "cause_month"])
     return pad_causes(bands.join(causes, same, "left").drop("cause_origin", "cause_month"))
 
 

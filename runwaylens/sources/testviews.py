@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from runwaylens.operators.joins import join_lookup
 from runwaylens.schema import FACT_COLUMNS
 
 
@@ -28,17 +29,15 @@ def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_linestatus").alias("ls"),
         (F.col("l_orderkey") * 7 + F.col("l_linenumber")).alias("k"),
     )
-    places = table(spark, sf_dir, "supplier").join(
-        table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey")
-    )
-    places = places.select(F.col("s_suppkey").alias("sk"), F.col("n_name").alias("org"), F.col("n_nationkey").alias("nk"))
+    nations = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("nk"), F.col("n_name").alias("org"))
+    suppliers = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("sk"), F.col("s_nationkey").alias("nk"))
 
     g = F.col("nk") % 11
     resting = (F.col("rf") == "A") & F.month("d").isin(2, 7)
     cancelled = (F.col("k") % 53 == 0) | ((g == 3) & (F.col("rf") == "N"))
     minutes = (F.col("pk") * 37 + F.col("ok") * 11 + F.col("ln") * 13) % 200 - 40
     base = (
-        lines.join(places, "sk")
+        join_lookup(join_lookup(lines, suppliers, "sk"), nations, "nk")
         .where(~resting)
         .withColumns({"g": g, "cx": cancelled, "dd": minutes})
         .withColumn("arr", F.when(~F.col("cx") & (F.col("k") % 59 != 0), F.col("dd") - 6 + (F.col("sk") * 5 + F.col("ln")) % 13))
