@@ -20,6 +20,14 @@ def missing_to_null(c: str | Column, tokens: Sequence[str] = tuple(MISSING_TOKEN
     return F.when(~c.isin(*tokens), c)
 
 
+def present(*columns: str) -> Column:
+    """All columns are not NULL; unlike ``na.drop`` the conditions reach the file scan."""
+    first, *rest = [F.col(c).isNotNull() for c in columns]
+    for condition in rest:
+        first = first & condition
+    return first
+
+
 def to_number(c: str | Column) -> Column:
     """DOUBLE, with NULL for text that is no number and for NaN (NaN would poison averages)."""
     return F.nanvl(as_column(c).try_cast("double"), F.lit(None).cast("double"))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from runwaylens.functions import in_range_or_null, out_of_range, strip_upper, to_date_text, to_flag, to_number
+from runwaylens.functions import in_range_or_null, out_of_range, present, strip_upper, to_date_text, to_flag, to_number
 from runwaylens.schema import (
     CODE_COLUMNS,
     DELAY_RANGE,
@@ -24,7 +24,7 @@ def select_present(df: DataFrame, columns: Sequence[str] = tuple(FACT_COLUMNS))
 
 
 def drop_missing_keys(df: DataFrame, keys: Sequence[str] = tuple(MANDATORY_COLUMNS)) -> DataFrame:
-    return df.na.drop(subset=list(keys))
+    return df.where(present(*keys))
 
 
 def drop_blank_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from runwaylens.functions import delay_band, flag_rate, mean_from
+from runwaylens.functions import delay_band, flag_rate, mean_from, present
 from runwaylens.schema import FLIGHT_ROLES, Roles
 
 NO_CAUSE = "none"
@@ -18,7 +18,7 @@ def period_stats(df: DataFrame, roles: Roles = FLIGHT_ROLES) -> DataFrame:
     keys = [F.col(roles.entity).alias("carrier"), F.col(roles.site).alias("origin"), F.col(roles.period).alias("month")]
     m = roles.second_measure
     return (
-        df.na.drop(subset=[roles.entity, roles.site, roles.period])
+        df.where(present(roles.entity, roles.site, roles.period))
         .groupBy(*keys)
         .agg(
             F.count(F.lit(1)).alias("num_flights"),
@@ -56,7 +56,7 @@ def active_periods(stats: DataFrame, as_text: bool = True) -> DataFrame:
 def band_stats(df: DataFrame, roles: Roles = FLIGHT_ROLES) -> DataFrame:
     """Count and averages per site, period and delay band; rows without a measure have no band."""
     return (
-        df.na.drop(subset=[roles.site, roles.period, roles.measure])
+        df.where(present(roles.site, roles.period, roles.measure))
         .groupBy(
             F.col(roles.site).alias("origin"),
             F.col(roles.period).alias("month"),
@@ -89,7 +89,7 @@ def cause_means_wide(df: DataFrame, roles: Roles = FLIGHT_ROLES) -> DataFrame:
 def cause_means(df: DataFrame, roles: Roles = FLIGHT_ROLES) -> DataFrame:
     """Same as rows (origin, month, cause, avg_minutes); only the small aggregate is unpivoted."""
     wide = cause_means_wide(df, roles)
-    return wide.unpivot(["origin", "month"], list(roles.causes), "cause", "avg_minutes").na.drop(subset=["avg_minutes"])
+    return wide.unpivot(["origin", "month"], list(roles.causes), "cause", "avg_minutes").where(present("avg_minutes"))
 
 
 def cause_means_union(df: DataFrame, roles: Roles = FLIGHT_ROLES) -> DataFrame:
@@ -140,7 +140,7 @@ def two_grain_stats(df: DataFrame, roles: Roles = FLIGHT_ROLES) -> DataFrame:
     the aggregated rows. ``grain`` is 'carrier' or 'airport'.
     """
     fine = (
-        df.na.drop(subset=[roles.site, roles.entity])
+        df.where(present(roles.site, roles.entity))
         .groupBy(F.col(roles.site).alias("origin"), F.col(roles.entity).alias("carrier"))
         .agg(
             F.count(F.lit(1)).alias("n"),

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from runwaylens.functions import flag_rate, mean_from
+from runwaylens.functions import flag_rate, mean_from, present
 from runwaylens.schema import FLIGHT_ROLES, Roles
 
 LOWEST = -(1 << 62)
@@ -15,7 +15,7 @@ LOWEST = -(1 << 62)
 def member_totals(df: DataFrame, roles: Roles = FLIGHT_ROLES) -> DataFrame:
     """Counts and sums per (site, entity); rows without an entity stay, as a group of their own."""
     return (
-        df.na.drop(subset=[roles.site])
+        df.where(present(roles.site))
         .groupBy(F.col(roles.site).alias("origin"), F.col(roles.entity).alias("carrier"))
         .agg(
             F.count(F.lit(1)).alias("num_flights"),
@@ -39,9 +39,9 @@ def member_stats(df: DataFrame, roles: Roles = FLIGHT_ROLES) -> DataFrame:
 
 def site_means(df: DataFrame, roles: Roles = FLIGHT_ROLES, only_valid: bool = False) -> DataFrame:
     """Average measure per site over all rows; ``only_valid`` leaves out sites without any value."""
-    rows = df.na.drop(subset=[roles.site])
+    rows = df.where(present(roles.site))
     if only_valid:
-        rows = rows.na.drop(subset=[roles.measure])
+        rows = rows.where(present(roles.measure))
     return rows.groupBy(F.col(roles.site).alias("origin")).agg(
         F.round(F.avg(roles.measure), 4).alias("avg_dep_airport")
     )

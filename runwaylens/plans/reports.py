@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from runwaylens.functions import delay_band, mean_from
+from runwaylens.functions import delay_band, mean_from, present
 from runwaylens.operators.grouping import (
     active_periods,
     band_stats,
@@ -64,7 +64,7 @@ def delay_report(df: DataFrame, roles: Roles = FLIGHT_ROLES) -> DataFrame:
     """
     positive = {label: F.when(F.col(c) > 0, F.col(c)) for label, c in roles.causes.items()}
     cells = (
-        df.na.drop(subset=[roles.site, roles.period])
+        df.where(present(roles.site, roles.period))
         .groupBy(
             F.col(roles.site).alias("origin"),
             F.col(roles.period).alias("month"),
@@ -103,7 +103,7 @@ def delay_report_joined(df: DataFrame, roles: Roles = FLIGHT_ROLES) -> DataFrame
 def delay_report_null_safe(df: DataFrame, roles: Roles = FLIGHT_ROLES) -> DataFrame:
     """Variant that keeps rows without airport or month, whose NULL keys match each other."""
     bands = (
-        df.na.drop(subset=[roles.measure])
+        df.where(present(roles.measure))
         .groupBy(
             F.col(roles.site).alias("origin"),
             F.col(roles.period).alias("month"),

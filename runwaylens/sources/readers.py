@@ -177,7 +177,7 @@ def read_csv_folders(spark: SparkSession, folders: Sequence[str], schema: T.Stru
 
 
 def conversion_status(spark: SparkSession, folders: Sequence[str], converted: DataFrame) -> DataFrame:
-    """Rows and bad lines per source file; a file that gave no row at all is reported as failed."""
+    """Rows and bad lines per source file; a file that gave no row at all is reported as no_rows."""
     found = [f for f in folders if path_exists(spark, f)]
     names = listed_files(spark, found, "*.csv").select(
         F.regexp_extract("path", r"([^/]+)\.csv$", 1).alias("source_file")
@@ -189,6 +189,6 @@ def conversion_status(spark: SparkSession, folders: Sequence[str], converted: Da
         "source_file",
         F.coalesce("rows", F.lit(0)).alias("rows"),
         F.coalesce("bad_rows", F.lit(0)).alias("bad_rows"),
-        F.when(F.col("rows").isNull(), "failed").otherwise("converted").alias("status"),
+        F.when(F.col("rows").isNull(), "no_rows").otherwise("converted").alias("status"),
     )
 
