@@ -16,13 +16,28 @@ from runwaylens.operators.sampling import write_sample_suite
 from runwaylens.plans import reports
 from runwaylens.schema import FACT_SCHEMA, SAMPLE_FRACTIONS
 from runwaylens.sources.readers import read_fact_csv, read_facts, read_raw_csv, read_run_log
-from runwaylens.sources.writers import convert_csv_folders, write_csv, write_delimited, write_parquet
+from runwaylens.sources.writers import (
+    REPORT_COLUMNS,
+    convert_csv_folders,
+    numeric_key,
+    sample_results,
+    write_csv,
+    write_delimited,
+    write_parquet,
+)
 
 REPORTS = {
     "airline-stats": reports.airline_stats,
     "delay-report": reports.delay_report,
     "carrier-ranking": reports.carrier_ranking,
 }
+# Sort keys of the written reports; months and ranks are text when read back.
+SAMPLE_KEYS = {
+    "analysis_1": ["carrier", "origin", "month"],
+    "analysis_2": ["origin", "month", "delay_band"],
+    "analysis_3": ["origin", "rank", "carrier"],
+}
+NUMERIC_KEYS = {"month", "rank"}
 
 
 def load(spark: SparkSession, path: str) -> DataFrame:
@@ -95,6 +110,16 @@ def compare(spark: SparkSession, a: argparse.Namespace) -> None:
         write_delimited(part, f"{a.output}/{name}", single_file=True)
 
 
+def sample_results_job(spark: SparkSession, a: argparse.Namespace) -> None:
+    """First rows of each written report, given as analysis_N=path."""
+    chosen = dict(entry.split("=", 1) for entry in a.results)
+    results = {}
+    for name, path in chosen.items():
+        keys = [numeric_key(k) if k in NUMERIC_KEYS else k for k in SAMPLE_KEYS[name]]
+        results[name] = (path, REPORT_COLUMNS[name], keys)
+    sample_results(spark, results, a.output).show(truncate=False)
+
+
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
     jobs = p.add_subparsers(dest="job", required=True)
@@ -114,6 +139,7 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--fast", action="store_true", help="approximate sizes, no counting passes")
     for name in REPORTS:
         add(name, report, "input", "output").add_argument("--single-file", action="store_true")
+    add("sample-results", sample_results_job, "output").add_argument("results", nargs="+")
     add("profile", profiles, "input", "output")
     add("compare-runs", compare, "local", "cluster", "output")
     return p

@@ -28,9 +28,14 @@ def present(*columns: str) -> Column:
     return first
 
 
+def nan_to_null(c: str | Column) -> Column:
+    """NULL for NaN, which would poison sums and averages; evaluates ``c`` once."""
+    return F.nanvl(as_column(c), F.lit(None).cast("double"))
+
+
 def to_number(c: str | Column) -> Column:
-    """DOUBLE, with NULL for text that is no number and for NaN (NaN would poison averages)."""
-    return F.nanvl(as_column(c).try_cast("double"), F.lit(None).cast("double"))
+    """DOUBLE, with NULL for text that is no number and for NaN."""
+    return nan_to_null(as_column(c).try_cast("double"))
 
 
 def to_date_text(c: str | Column, fmt: str = "yyyy-MM-dd") -> Column:
@@ -39,8 +44,8 @@ def to_date_text(c: str | Column, fmt: str = "yyyy-MM-dd") -> Column:
 
 
 def to_flag(c: str | Column) -> Column:
-    """INT flag; missing counts as 0."""
-    return F.coalesce(to_number(c), F.lit(0.0)).cast("int")
+    """INT flag; missing and unreadable cells count as 0."""
+    return F.coalesce(to_number(c).try_cast("int"), F.lit(0))
 
 
 def strip_text(c: str | Column) -> Column:

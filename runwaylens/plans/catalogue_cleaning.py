@@ -239,14 +239,34 @@ def _(spark, sf):
     return per_key.agg(F.sum("n").alias("num_rows"), F.count(F.lit(1)).alias("keys"))
 
 
-@query("sample_bernoulli")
+def _size_check(picked, whole, fraction: float):
+    """Whether an approximate sample has about the right size, and how many distinct keys it may hold."""
+    n = whole.agg(F.count(F.lit(1))).scalar()
+    keys = whole.select("o_orderkey").withColumn("times", F.lit(0))
+    both = keys.unionByName(picked.select("o_orderkey").withColumn("times", F.lit(1)))
+    per_key = both.groupBy("o_orderkey").agg(F.sum("times").alias("times"))
+    total = F.sum("times")
+    # Six standard deviations of the number of rows drawn at random.
+    near = F.abs(total - n * F.lit(fraction)) < 6 * F.sqrt(n)
+    return per_key.agg(F.count(F.lit(1)).alias("keys"), near.alias("near"), F.min("times").alias("fewest"))
+
+
+@query(
+    "sample_bernoulli",
+    "SELECT count(*) AS keys, true AS near, CAST(0 AS BIGINT) AS fewest FROM orders",
+)
 def _(spark, sf):
-    return sampling.sample_fraction(table(spark, sf, "orders"), 0.25)
+    orders = table(spark, sf, "orders")
+    return _size_check(sampling.sample_fraction(orders, 0.25), orders, 0.25)
 
 
-@query("sample_poisson_oversize")
+@query(
+    "sample_poisson_oversize",
+    "SELECT count(*) AS keys, true AS near, CAST(1 AS BIGINT) AS fewest FROM orders",
+)
 def _(spark, sf):
-    return sampling.sample_fraction(table(spark, sf, "orders"), 1.25)
+    orders = table(spark, sf, "orders")
+    return _size_check(sampling.sample_fraction(orders, 1.25), orders, 1.25)
 
 
 def _expected_rows(fraction: float) -> str:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from runwaylens.operators import cleaning, profile
 from runwaylens.plans.catalogue_cleaning import describe_sql
 from runwaylens.plans.oracle import missing, over, rounded
@@ -57,9 +59,24 @@ def _(spark, sf):
     return profile.describe(flights(spark, sf))
 
 
-@query("describe_delays_sketch")
+FIGURES = ["column", "count", "mean", "std", "min", "max"]
+
+
+@query(
+    "describe_delays_sketch",
+    over(
+        "flights",
+        "SELECT \"column\", count, mean, std, min, max, true AS quartiles_near FROM ("
+        + " UNION ALL ".join(describe_sql("flights", c) for c in NUMBER_COLUMNS)
+        + ")",
+    ),
+)
 def _(spark, sf):
-    return profile.describe(flights(spark, sf), exact=False)
+    df = flights(spark, sf)
+    exact = profile.describe(df).select("column", F.array("p25", "p50", "p75").alias("exact"))
+    sketch = profile.describe(df, exact=False).withColumn("sketch", F.array("p25", "p50", "p75"))
+    off = F.zip_with("sketch", "exact", lambda a, b: F.abs(a - b))
+    return sketch.join(exact, "column").select(*FIGURES, (F.array_max(off) <= 1).alias("quartiles_near"))
 
 
 def _labelled(dataset: str, source: str, columns) -> str:

@@ -9,12 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from runwaylens.functions import missing_to_null, position_in, to_number
+from runwaylens.functions import missing_to_null, nan_to_null, position_in, to_number
 from runwaylens.schema import (
     FACT_COLUMNS,
     FACT_SCHEMA,
     FULL_LABEL,
-    NUMBER_COLUMNS,
     RUN_LOG_SCHEMA,
     SAMPLE_ORDER,
 )
@@ -49,14 +48,19 @@ def read_raw_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return normalise_missing(spark.read.option("header", True).csv(path))
 
 
+def without_nan(df: DataFrame) -> DataFrame:
+    """NULL for NaN in the DOUBLE columns."""
+    numbers = {f.name for f in df.schema if isinstance(f.dataType, T.DoubleType)}
+    return df.select(*[nan_to_null(c).alias(c) if c in numbers else F.col(c) for c in df.columns])
+
+
 def read_fact_csv(spark: SparkSession, path: str | list[str], schema: T.StructType = FACT_SCHEMA) -> DataFrame:
     """Headered CSV with the declared schema; bad cells are NULL, and so is NaN."""
-    df = spark.read.csv(path, header=True, schema=schema)
-    numbers = {f.name for f in schema if isinstance(f.dataType, T.DoubleType)}
-    return df.select(*[F.when(~F.isnan(c), F.col(c)).alias(c) if c in numbers else F.col(c) for c in df.columns])
+    return without_nan(spark.read.csv(path, header=True, schema=schema))
 
 
 def read_facts(spark: SparkSession, path: str) -> DataFrame:
+    """Fact rows from Parquet as they are; pass them through ``without_nan`` if other tools wrote NaN."""
     return spark.read.parquet(path)
 
 
@@ -168,12 +172,8 @@ def read_csv_folders(spark: SparkSession, folders: Sequence[str], schema: T.Stru
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("ignoreCorruptFiles", True)
     )
-    df = reader.csv(found)
-    numbers = {c for c in NUMBER_COLUMNS + ["cancelled"] if c in df.columns}
-    return df.select(
-        *[F.when(~F.isnan(c), F.col(c)).alias(c) if c in numbers else F.col(c) for c in df.columns],
-        F.regexp_replace("_metadata.file_name", r"\.csv$", "").alias("source_file"),
-    )
+    name = F.regexp_replace("_metadata.file_name", r"\.csv$", "").alias("source_file")
+    return without_nan(reader.csv(found).select("*", name))
 
 
 def conversion_status(spark: SparkSession, folders: Sequence[str], converted: DataFrame) -> DataFrame:

@@ -42,6 +42,15 @@ def test_reports(spark, cleaned, name):
     assert back.count() == jobs.REPORTS[name](spark.read.parquet(cleaned)).count() > 0
 
 
+def test_result_samples(spark, cleaned):
+    report, out = new_folder(spark, "job-report"), new_folder(spark, "job-result-samples")
+    jobs.main(["airline-stats", cleaned, report])
+    jobs.main(["sample-results", out, f"analysis_1={report}", f"analysis_3={report}-absent"])
+    got = spark.read.csv(f"{out}/analysis_1", header=True, sep="|").collect()
+    want = jobs.REPORTS["airline-stats"](spark.read.parquet(cleaned)).limit(10).collect()
+    assert [(r.carrier, r.origin, r.month) for r in got] == [(r.carrier, r.origin, str(r.month)) for r in want]
+
+
 def test_convert_and_sample(spark, cleaned):
     folder, out = new_folder(spark, "job-csv"), new_folder(spark, "job-out")
     write_csv(spark.read.parquet(cleaned), folder)

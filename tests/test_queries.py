@@ -56,10 +56,5 @@ def test_same_rows_as_sql(spark, duck, name):
     assert got, "an empty result checks nothing"
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - set(oracle_sql())))
-def test_runs_without_sql(spark, name):
-    assert queries()[name](spark, str(DATA)).limit(5).collect()
-
-
-def test_sql_belongs_to_queries():
-    assert set(oracle_sql()) <= set(queries())
+def test_every_query_has_sql():
+    assert set(oracle_sql()) == set(queries())
