@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from runwaylens.functions import clip, lookup, mean_from, month_label
 from runwaylens.schema import (
@@ -16,6 +17,8 @@ from runwaylens.schema import (
 )
 
 QUARTILES = [0.25, 0.5, 0.75]
+SLICES_PER_DOUBLING = 64
+SKETCH_ACCURACY = 10000
 
 
 def row_count(df: DataFrame) -> DataFrame:
@@ -77,46 +80,108 @@ def value_frequencies(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def describe(df: DataFrame, columns: Sequence[str] = tuple(NUMBER_COLUMNS), exact: bool = True) -> DataFrame:
-    """count, mean, std (n - 1), min, quartiles (linear interpolation) and max per column.
+def _slice(value: Column) -> Column:
+    """Coarse number that grows with the value: about one percent of its size per step.
 
-    The exact form works on value frequencies: the table is reduced to one row per
-    distinct value, spread over all tasks, before the figures of a column meet. That
-    suits measures with a bounded set of values, such as minutes. For measures with an
-    unbounded one, ``exact=False`` uses mergeable quantile sketches of fixed size.
+    Never NULL, so that joins on it add no filter below the shared value frequencies.
     """
-    names = ["p25", "p50", "p75"]
-    if exact:
-        freq = value_frequencies(df, columns)
-        means = freq.groupBy("column").agg(
-            (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("centre")
-        )
-        # One row per profiled column, so the broadcast is bounded by the schema.
-        centred = freq.join(F.broadcast(means), "column")
-        off = F.col("value") - F.col("centre")
-        stats = centred.groupBy("column").agg(
+    step = F.floor(F.signum(value) * F.log2(F.abs(value) + 1) * SLICES_PER_DOUBLING)
+    return F.coalesce(step, F.lit(0))
+
+
+def exact_quantiles(freq: DataFrame, probabilities: Sequence[float] = tuple(QUARTILES)) -> DataFrame:
+    """(column, q): exact quantiles, linearly interpolated, from value frequencies.
+
+    Rows are counted per slice of the value range first. Only the slices in which a wanted
+    position falls are then walked in order, each as a sorted running count that can spill,
+    so no list of all distinct values is ever built.
+    """
+    sliced = freq.withColumn("slice", _slice(F.col("value")))
+    up_to = Window.partitionBy("column").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    placed = (
+        sliced.groupBy("column", "slice")
+        .agg(F.sum("n").alias("rows"))
+        .withColumn("before", F.coalesce(F.sum("rows").over(up_to), F.lit(0)))
+        .withColumn("last", F.sum("rows").over(Window.partitionBy("column")) - 1)
+    )
+    # The two row positions around each quantile, and those of them that lie in the slice.
+    positions = F.array(
+        *[
+            F.struct(F.lit(i).alias("q"), end(F.col("last") * F.lit(p)).alias("position"))
+            for i, p in enumerate(probabilities)
+            for end in (F.floor, F.ceil)
+        ]
+    )
+    needed = placed.select(
+        "column", "slice", "before", "last", _positions_within(positions, F.col("before"), F.col("rows")).alias("wanted")
+    ).where(F.size("wanted") > 0)
+
+    # Two slices per column and quantile at most, so the broadcast is bounded by the request.
+    inside = Window.partitionBy("column", "slice").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    walked = sliced.join(F.broadcast(needed), ["column", "slice"]).withColumn(
+        "start", F.col("before") + F.coalesce(F.sum("n").over(inside), F.lit(0))
+    )
+    hits = walked.withColumn("wanted", _positions_within(F.col("wanted"), F.col("start"), F.col("n")))
+
+    def quantile(i: int, p: float) -> Column:
+        value = F.when(F.exists("wanted", lambda w: w["q"] == i), F.col("value"))
+        exact = F.max("last") * F.lit(p)
+        lo, hi = F.min(value), F.max(value)
+        return lo + (hi - lo) * (exact - F.floor(exact))
+
+    quantiles = F.array(*[quantile(i, p) for i, p in enumerate(probabilities)])
+    return hits.where(F.size("wanted") > 0).groupBy("column").agg(quantiles.alias("q"))
+
+
+def _positions_within(wanted: Column, start: Column, n: Column) -> Column:
+    return F.filter(wanted, lambda w: (w["position"] >= start) & (w["position"] < start + n))
+
+
+def moments(freq: DataFrame) -> DataFrame:
+    """count, mean, std (n - 1), min and max per column from value frequencies."""
+    # One row per profiled column, so the broadcast is bounded by the schema.
+    means = freq.groupBy("column").agg((F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("centre"))
+    off = F.col("value") - F.col("centre")
+    return (
+        freq.join(F.broadcast(means), "column")
+        .groupBy("column")
+        .agg(
             F.sum("n").alias("count"),
             F.first("centre").alias("mean"),
             F.sqrt(F.try_divide(F.sum(F.col("n") * off * off), F.sum("n") - 1)).alias("std"),
             F.min("value").alias("min"),
-            F.percentile("value", QUARTILES, F.col("n")).alias("q"),
             F.max("value").alias("max"),
         )
+    )
+
+
+def describe(df: DataFrame, columns: Sequence[str] = tuple(NUMBER_COLUMNS), exact: bool = True) -> DataFrame:
+    """count, mean, std (n - 1), min, quartiles (linear interpolation) and max per column.
+
+    The exact form works on value frequencies: the table is reduced to one row per
+    distinct value, spread over all tasks, before the figures of a column meet. With
+    ``exact=False`` quartiles come from mergeable sketches of fixed size, in one pass.
+    """
+    if exact:
+        freq = value_frequencies(df, columns)
+        # One row per profiled column on either side.
+        stats = moments(freq).join(F.broadcast(exact_quantiles(freq)), "column")
     else:
         rows = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
         stats = (
             rows.unpivot([], list(columns), "column", "value")
+            .where("value IS NOT NULL")
             .groupBy("column")
             .agg(
                 F.count("value").alias("count"),
                 F.avg("value").alias("mean"),
                 F.stddev_samp("value").alias("std"),
                 F.min("value").alias("min"),
-                F.percentile_approx("value", QUARTILES, 10000).alias("q"),
+                F.percentile_approx("value", QUARTILES, SKETCH_ACCURACY).alias("q"),
                 F.max("value").alias("max"),
             )
         )
-    quartiles = [F.round(F.col("q")[i], 2).alias(name) for i, name in enumerate(names)]
+    quartiles = [F.round(F.col("q")[i], 2).alias(f"p{round(p * 100)}") for i, p in enumerate(QUARTILES)]
     rounded = {c: F.round(c, 2).alias(c) for c in ("mean", "std", "min", "max")}
     return stats.select(
         "column", "count", rounded["mean"], rounded["std"], rounded["min"], *quartiles, rounded["max"]
