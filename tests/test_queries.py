@@ -7,7 +7,7 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from __spark_entry__ import oracle_sql, queries
+from runwaylens.plans.catalogue import QUERIES, SQL
 
 DATA = Path("/root/testdata/sf0.01")
 # Engine type names that mean the same.
@@ -43,10 +43,10 @@ def bag(rows):
     return sorted((tuple(plain(v) for v in r) for r in rows), key=repr)
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_same_rows_as_sql(spark, duck, name):
-    df = queries()[name](spark, str(DATA))
-    expected = duck.sql(oracle_sql()[name])
+    df = QUERIES[name](spark, str(DATA))
+    expected = duck.sql(SQL[name])
     assert sorted(df.columns) == sorted(expected.columns)
     types = dict(zip(expected.columns, map(str, expected.types)))
     assert {c: SAME_TYPE[t] for c, t in df.dtypes} == types
@@ -57,4 +57,4 @@ def test_same_rows_as_sql(spark, duck, name):
 
 
 def test_every_query_has_sql():
-    assert set(oracle_sql()) == set(queries())
+    assert set(SQL) == set(QUERIES)
