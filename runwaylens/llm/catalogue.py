@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from runwaylens.llm import q04_decontaminate  # noqa: F401
+from runwaylens.llm import q04_decontaminate, q07_near_dup  # noqa: F401
 from runwaylens.llm.registry import QUERIES, SQL  # noqa: F401
