@@ -30,9 +30,7 @@ SHINGLE = 5
 K = 64
 # Values of a sketch that go into inverted lists.
 LISTED = 32
-# Retained values of a set when large lists are compared in blocks.
-WIDE = 512
-# Lists of up to so many classes are joined with themselves; larger ones are compared in blocks.
+# Lists of up to so many classes are joined with themselves; larger ones are compared in blocks of BLOCK classes.
 SMALL_LIST = 50
 BLOCK = 512
 # A true link is missed by a sketch test with less than this probability.
@@ -87,7 +85,7 @@ def with_sketches(docs: DataFrame, n: int = SHINGLE, k: int = K) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingle_set(t, n) for t in batch.column(batch.schema.get_field_index("text")).to_pylist()]
+            sets = [shingle_set(t.as_py(), n) for t in batch.column(batch.schema.get_field_index("text"))]
             more = {
                 "__n": pa.array([len(s) for s in sets], pa.int64()),
                 "__cls": pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
@@ -222,11 +220,12 @@ def components(links: DataFrame, work: Workspace, label: str) -> DataFrame:
     )
 
 
-def _wide_pairs(members: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """Pairs across components out of large lists, compared in blocks of bounded size.
+def _wide_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links across components out of large lists, compared in blocks of bounded size.
 
-    Every block of a list meets every other block of it in a task of its own. A task counts the shared retained
-    values of two blocks as a matrix product and returns only pairs that may be links.
+    Every block of a list meets every other block of it in a task of its own. A task counts the shared shingles of
+    the full sets of two blocks as a matrix product; of the links it finds, it returns those that join components
+    not yet joined by the ones before, so at most one for each component that takes part.
     """
     sized = members.groupBy("value").agg(F.count("*").alias("size"))
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
@@ -244,8 +243,7 @@ def _wide_pairs(members: DataFrame, sets: DataFrame, similarity: float) -> DataF
             F.greatest("block", "other").alias("y"),
         )
     )
-    full = placed.join(sets.select("cls", F.size("shingles").alias("n"), F.slice("shingles", 1, WIDE).alias("s")), "cls")
-    least = least_shared(WIDE, similarity)
+    full = placed.join(sets, "cls")
 
     def compare(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         x, y = key[1], key[2]
@@ -253,24 +251,38 @@ def _wide_pairs(members: DataFrame, sets: DataFrame, similarity: float) -> DataF
         right = pdf[pdf.block == y].reset_index(drop=True) if x != y else left
         out = []
         if len(left) and len(right):
-            shared = _shared(list(left.s), list(right.s))
-            na, nb = left.n.to_numpy()[:, None], right.n.to_numpy()[None, :]
-            whole = (na <= WIDE) & (nb <= WIDE)
-            near = np.where(whole, shared * (1 + similarity) >= (na + nb) * similarity - 1e-6, shared >= least)
-            near &= np.minimum(na, nb) >= np.maximum(na, nb) * similarity - 1e-6
+            shared = _shared(*([list(left.shingles)] * 2 if x == y else (list(left.shingles), list(right.shingles))))
+            sizes = left.shingles.str.len().to_numpy()[:, None] + right.shingles.str.len().to_numpy()[None, :]
             roots = pd.factorize(pd.concat([left.root, right.root]))[0]
-            near &= roots[: len(left), None] != roots[None, len(left) :]
-            out = [(min(p), max(p)) for i, j in zip(*np.nonzero(near)) for p in [(left.cls[i], right.cls[j])]]
+            over, under = roots[: len(left)], roots[len(left) :]
+            linked = (100 * shared >= percent * (sizes - shared)) & (over[:, None] != under[None, :])
+            joined = list(range(roots.max() + 1))
+            for i, j in zip(*np.nonzero(linked)):
+                u, v = _top(joined, over[i]), _top(joined, under[j])
+                if u != v:
+                    joined[u] = v
+                    out.append((left.cls[i], right.cls[j]))
         return pd.DataFrame(out, columns=["a", "b"])
 
-    return full.groupBy("value", "x", "y").applyInPandas(compare, "a binary, b binary").distinct()
+    return full.groupBy("value", "x", "y").applyInPandas(compare, "a binary, b binary")
+
+
+def _top(joined: list[int], i: int) -> int:
+    while joined[i] != i:
+        joined[i] = joined[joined[i]]
+        i = joined[i]
+    return i
 
 
 def _shared(left: list[np.ndarray], right: list[np.ndarray], columns: int = 8192) -> np.ndarray:
     """Matrix of shared values of each left with each right sorted array, a bounded number of columns at a time."""
     rows = [np.repeat(np.arange(len(side)), [len(s) for s in side]) for side in (left, right)]
     values = [np.concatenate(side) for side in (left, right)]
-    common = np.intersect1d(np.unique(values[0]), np.unique(values[1]), assume_unique=True)
+    if left is right:
+        common, times = np.unique(values[0], return_counts=True)
+        common = common[times > 1]
+    else:
+        common = np.intersect1d(np.unique(values[0]), np.unique(values[1]), assume_unique=True)
     places = [np.searchsorted(common, v) for v in values]
     hit = [(p < len(common)) & (common[np.minimum(p, len(common) - 1)] == v) for p, v in zip(places, values)] if len(common) else None
     out = np.zeros((len(left), len(right)), np.float32)
@@ -282,7 +294,7 @@ def _shared(left: list[np.ndarray], right: list[np.ndarray], columns: int = 8192
             m[r[here], p[here] - start] = 1
             parts.append(m)
         out += parts[0] @ parts[1].T
-    return out
+    return out.astype(np.int64)
 
 
 def group_near_duplicates(
@@ -337,8 +349,7 @@ def group_near_duplicates(
         across = across.join(pairs, ["a", "b"], "left_anti")
         across = _estimated(across, reps, similarity, k)
         large = members.join(split.filter(F.col("size") > SMALL_LIST), "value", "left_semi")
-        rest = work.save(across.unionByName(_wide_pairs(large, sets, similarity)).distinct(), "rest")
-        more = _verified(rest, sets, percent)
+        more = _verified(work.save(across, "across"), sets, percent).unionByName(_wide_links(large, sets, percent))
         final = work.save(components(work.save(links.unionByName(more), "all-links"), work, "round-b"), "roots")
         classes = light.filter("cls is not null").groupBy("cls").agg(F.min("id").alias("first"))
         rooted = classes.join(final, "cls", "left").select("cls", "first", F.coalesce("root", "cls").alias("root"))
@@ -360,7 +371,7 @@ def _sets(base: DataFrame, holder: DataFrame, n: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingle_set(t, n) for t in batch.column(0).to_pylist()]
+            sets = [shingle_set(t.as_py(), n) for t in batch.column(0)]
             classes = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays([pa.array(classes, pa.binary()), _lists(sets)], names=["cls", "shingles"])
 
@@ -384,7 +395,7 @@ def drop_near_duplicates(docs: DataFrame, percent: int = 80, n: int = SHINGLE, k
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingle_set(t, n) for t in batch.column(batch.schema.get_field_index("text")).to_pylist()]
+            sets = [shingle_set(t.as_py(), n) for t in batch.column(batch.schema.get_field_index("text"))]
             classes = pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns, classes], names=[*batch.schema.names, "__cls"])
 
