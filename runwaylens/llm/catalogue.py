@@ -2,5 +2,21 @@
 
 from __future__ import annotations
 
-from runwaylens.llm import q04_decontaminate, q07_near_dup  # noqa: F401
+import corpus_pipeline
+from runwaylens.llm import (  # noqa: F401
+    q01_tokens,
+    q02_quality,
+    q03_mixing,
+    q04_decontaminate,
+    q05_toxicity,
+    q06_reputation,
+    q07_near_dup,
+    q08_licenses,
+    q09_language,
+    q10_sharding,
+)
 from runwaylens.llm.registry import QUERIES, SQL  # noqa: F401
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL is not None:
+    SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
