@@ -14,8 +14,9 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from heapq import nlargest
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +36,8 @@ LANDMARKS = 384
 FIT_DOCS = 10_000
 FIT_WORDS = 12_000
 LOW = -2.0
+# Texts whose new words are judged together.
+CHUNK = 200
 _STEPS = [(a, b) for a in range(1, SPAN - 1) for b in range(1, SPAN - a)]
 _SENTENCE = re.compile(r"[.!?\n]+")
 _START, _END = 1, 2
@@ -123,18 +126,19 @@ class Judge:
     def __init__(self, model: Model, most: int = 400_000) -> None:
         self.model, self.most, self.known = model, most, {}
 
-    def worst(self, texts: Iterable[str | None]) -> np.ndarray:
-        docs = []
-        for text in texts:
-            tokens = [] if text is None else text.lower().split()
-            docs.append(set(tokens).union(spaced(tokens)))
-        out = np.full((len(docs), 2), LOW)
-        for i, words in enumerate(docs):
+    def worst(self, texts: Sequence[str | None]) -> np.ndarray:
+        out = np.full((len(texts), 2), LOW)
+        for start in range(0, len(texts), CHUNK):
+            docs = []
+            for text in texts[start : start + CHUNK]:
+                tokens = [] if text is None else text.lower().split()
+                docs.append(set(tokens).union(spaced(tokens)))
             if len(self.known) > self.most:
                 self.known.clear()
-            self._learn([w for w in words if w not in self.known])
-            values = sorted(map(self.known.__getitem__, words))[-2:]
-            out[i, : len(values)] = values[::-1]
+            self._learn([w for w in set().union(*docs) if w not in self.known])
+            for i, words in enumerate(docs, start):
+                values = nlargest(2, map(self.known.__getitem__, words))
+                out[i, : len(values)] = values
         return out
 
     def _learn(self, new: list[str]) -> None:
