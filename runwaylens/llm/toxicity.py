@@ -31,7 +31,10 @@ SPAN = 6
 DECAY = 0.7
 # Longest piece of a word that is compared at once; longer words are read in overlapping pieces.
 PIECE = 14
-LANDMARKS = 384
+LANDMARKS = 400
+COST = 10.0
+# Rounds in which the good words that look worst, of all that were counted, join the fit.
+MINING = 3
 # Bounds of the fit: labelled documents, and words on either side.
 FIT_DOCS = 10_000
 FIT_WORDS = 12_000
@@ -180,34 +183,40 @@ def logistic(x: np.ndarray, y: np.ndarray, rounds: int = 30, ridge: float = 0.05
     return b
 
 
-def fit_words(bad: list[str], good: list[str], cost: float = 10.0) -> tuple[np.ndarray, np.ndarray, float]:
-    """Nystroem machine on two lists of short words: keys, weights and bias of the collapsed form."""
-    step = lambda words, n: words[:: max(1, len(words) // max(1, n))][:n]
-    landmarks = list(dict.fromkeys(step(bad, LANDMARKS // 2) + step(good, LANDMARKS // 2)))
+def fit_words(
+    bad: list[str], evidence: np.ndarray, hard: list[str], good: list[str], cost: float = COST
+) -> tuple[np.ndarray, np.ndarray, float]:
+    """Nystroem machine on short words: keys, weights and bias of the collapsed form.
+
+    ``evidence`` weighs the bad words; ``hard`` are good words that earlier rounds took for bad ones. Landmarks are
+    the first of the bad, the hardest and evenly spaced other good words.
+    """
+    hardest = hard[: LANDMARKS // 4]
+    rest = LANDMARKS // 2 - len(hardest)
+    evenly = good[:: max(1, len(good) // rest)][:rest]
+    landmarks = list(dict.fromkeys(bad[: LANDMARKS // 2] + hardest + evenly))
     row, key, weight = triples(landmarks)
     keys, place = np.unique(key, return_inverse=True)
     dense = np.zeros((len(keys), len(landmarks)), np.float32)
     dense[place, row] = weight
-    words = bad + good
+    words = bad + list(dict.fromkeys(hard + good))
 
     def kernel(part: list[str]) -> np.ndarray:
         r, k, w = triples(part)
         at = np.minimum(np.searchsorted(keys, k), len(keys) - 1)
         hit = keys[at] == k
         out = np.zeros((len(part), len(landmarks)))
-        r, at, w = r[hit], at[hit], w[hit]
-        first = np.flatnonzero(np.r_[True, r[1:] != r[:-1]]) if len(r) else []
+        r, at, w = r[hit], at[hit], w[hit].astype(np.float32)
         if len(r):
-            out[r[first]] = np.add.reduceat(dense[at] * w[:, None].astype(np.float32), first)
+            first = np.flatnonzero(np.r_[True, r[1:] != r[:-1]])
+            out[r[first]] = np.add.reduceat(dense[at] * w[:, None], first)
         return out
 
-    among = (dense.T @ dense).astype(float)
-    values, vectors = np.linalg.eigh(among)
-    root = vectors @ np.diag(np.where(values > 1e-6, 1 / np.sqrt(np.maximum(values, 1e-6)), 0)) @ vectors.T
+    values, vectors = np.linalg.eigh((dense.T @ dense).astype(float))
+    root = vectors @ np.diag(1 / np.sqrt(np.maximum(values, 1e-4))) @ vectors.T
     z = np.vstack([kernel(words[i : i + 500]) for i in range(0, len(words), 500)]) @ root
-    y = np.r_[np.ones(len(bad)), -np.ones(len(good))]
-    share = np.where(y > 0, 0.5 / len(bad), 0.5 / len(good)) * len(y)
-    v = svm(np.c_[z, np.ones(len(z))], y, cost * share)
+    y = np.r_[np.ones(len(bad)), -np.ones(len(words) - len(bad))]
+    v = svm(np.c_[z, np.ones(len(z))], y, cost * np.r_[evidence, np.ones(len(words) - len(bad))])
     return keys, dense @ (root @ v[:-1]), float(v[-1])
 
 
@@ -268,15 +277,21 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = FIT_DOCS, max_word
             return None
         odds = (F.col("bad") + 0.1) / n_bad / ((F.col("good") + 0.1) / n_good)
         some = counted.withColumn("odds", odds)
-        bad = some.filter("bad >= 3 and odds > 8").orderBy(F.desc("bad"), "w").limit(max_words // 3)
-        good = some.filter("odds < 3 and good > 0")
+        bad = some.filter("bad >= 3 and odds > 8").orderBy(F.desc("bad"), "w").limit(max_words // 3).collect()
+        good = some.filter("odds < 3 and good > 0").select("w", "good")
         usual = good.orderBy(F.desc("good"), "w").limit(max_words // 6)
-        rare = good.orderBy(F.xxhash64("w"), "w").limit(max_words // 2)
-        bad_words = [r.w for r in bad.select("w").collect()]
-        good_words = list(dict.fromkeys(r.w for part in (rare, usual) for r in part.select("w").collect()))
-        if not bad_words or not good_words:
+        rare = good.orderBy(F.xxhash64("w"), "w").limit(max_words // 3)
+        good_words = list(dict.fromkeys(r.w for part in (usual, rare) for r in part.select("w").collect()))
+        if not bad or not good_words:
             return None
-        model = Model(*fit_words(bad_words, good_words), np.zeros(3))
+        bad_words = [r.w for r in bad]
+        evidence = np.minimum([float(r.bad) for r in bad], 60) / 6
+        hard: list[str] = []
+        for _ in range(MINING):
+            model = Model(*fit_words(bad_words, evidence, hard, good_words), np.zeros(3))
+            top = _judged(good.select("w"), model).orderBy(F.desc("value"), "w").limit(max_words // 6)
+            hard = list(dict.fromkeys([r.w for r in top.collect()] + hard))
+        model = Model(*fit_words(bad_words, evidence, hard, good_words), np.zeros(3))
         told = [
             (r.worst, r.toxic)
             for r in _worst(sample.select("text", F.col("toxic").cast("double").alias("toxic")), model).collect()
@@ -286,6 +301,17 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = FIT_DOCS, max_word
     return model
 
 
+def _judged(words: DataFrame, model: Model) -> DataFrame:
+    """(w, value) of every word."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = model.judge(batch.column(0).to_pylist()) if batch.num_rows else np.empty(0)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values)], names=["w", "value"])
+
+    return words.mapInArrow(run, "w string, value double")
+
+
 def _worst(docs: DataFrame, model: Model) -> DataFrame:
     """The columns of ``docs`` but ``text``, with the decision values of the two worst words in ``worst``."""
 
