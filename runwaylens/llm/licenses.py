@@ -42,16 +42,33 @@ TEMPLATES = {
 
 
 def words(text: str) -> list[str]:
-    import re
-
-    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.translate({c: c + 32 for c in range(65, 91)}))
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.lower())
 
 
 def words_column(text: Column) -> Column:
-    """Runs of ASCII letters, digits and signs beyond ASCII, with A-Z lower-cased; none for NULL."""
-    low = F.translate(F.coalesce(text, F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    plain = F.btrim(F.regexp_replace(low, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " "))
-    return F.when(plain == "", F.array().cast("array<string>")).otherwise(F.split(plain, " "))
+    """Runs of letters, digits and signs beyond ASCII, lower-cased; none for NULL."""
+    parts = F.split(F.lower(F.coalesce(text, F.lit(""))), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    return F.array_remove(parts, "")
+
+
+def anchors(templates: list[list[str]]) -> list[str]:
+    """A few words of which every text that can match holds one.
+
+    A match leaves SHINGLE + WINDOW - 1 words of its template in a row untouched (all words of a shorter template).
+    Chosen greedily: the word that stands in most of these runs not yet covered, long words first.
+    """
+    reach = SHINGLE + WINDOW - 1
+    runs = [set(t[i : i + reach]) for t in templates if t for i in range(max(1, len(t) - reach + 1))]
+    out: list[str] = []
+    while runs:
+        count: dict[str, int] = {}
+        for run in runs:
+            for w in run:
+                count[w] = count.get(w, 0) + 1
+        best = max(count, key=lambda w: (len(w) > 6, count[w], len(w), w))
+        out.append(best)
+        runs = [run for run in runs if best not in run]
+    return out
 
 
 def shingles_column(words: Column, n: int = SHINGLE) -> Column:
@@ -105,7 +122,13 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, contained: fl
     bands = {s: _literals(wide, signatures_column(shingles_column(F.col("words")), s, WINDOW)) for s in BANDS}
     phrases = {r.name: " ".join(r.words) for r in made if 0 < len(r.words) < SHINGLE}
 
-    out = plain.withColumn("__words", words_column(F.col("text")))
+    low = F.lower("text")
+    anchored = F.lit(False)
+    for word in anchors([r.words for r in made]):
+        anchored = anchored | low.contains(word)
+    nothing = F.array().cast("array<string>")
+    # Texts without an anchor cannot match and are not cut into words.
+    out = plain.withColumn("__words", F.when(F.coalesce(anchored, F.lit(False)), words_column(F.col("text"))).otherwise(nothing))
     out = out.withColumn("__h", shingles_column(F.col("__words")))
     within = lambda values: lambda x: x.isin(values)
     retrieved = F.exists("__h", within(narrow)) if narrow else F.lit(False)

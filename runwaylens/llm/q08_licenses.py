@@ -22,7 +22,7 @@ _ROWS = ", ".join(
 SQL = rf"""
 WITH t(name, m, k, s) AS (VALUES {_ROWS}), d AS (
   SELECT doc_id, row_number() OVER () AS r,
-    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    regexp_extract_all(lower(coalesce(text, '')),
       '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
 ), ks AS (SELECT DISTINCT k FROM t), s AS (
   SELECT DISTINCT r, k, array_to_string(w[i : i + k - 1], ' ') AS s FROM d, ks, unnest(range(1, len(w) - k + 2)) AS u(i)
