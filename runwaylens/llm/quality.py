@@ -16,13 +16,13 @@ from runwaylens.sources.scratch import Workspace
 SPACE = r"[\x20\x09-\x0D]+"
 BLANKS = " \t\n\x0b\x0c\r"
 # Statistics of the vector, with the spread below which differences do not count.
-VECTOR = {"x1": 0.15, "x2": 0.10, "x3": 0.20, "x4": 0.15}
+VECTOR = {"x1": 0.15, "x2": 0.10, "x3": 0.40, "x4": 0.25}
 NAMES = list(VECTOR)
 # Share of a group that the estimate rests on, and concentration steps.
 HALF = 0.75
 STEPS = 3
-# Chi-square of 4 degrees of freedom: median, 97.5 %, and the limit of rejection (one in 10^8).
-MEDIAN, USUAL, LIMIT = 3.357, 11.143, 43.2
+# Chi-square of 4 degrees of freedom: median, 97.5 %, and the limit of rejection (one in a million).
+MEDIAN, USUAL, LIMIT = 3.357, 11.143, 33.4
 # Groups of fewer texts are pooled within their language; pools of fewer reject nothing.
 LEAST = 50
 BINS = 16
