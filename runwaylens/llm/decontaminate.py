@@ -11,7 +11,7 @@ import uuid
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # ASCII letters are lower-cased; every other ASCII sign than a letter or digit parts words.
@@ -195,9 +195,9 @@ def item_blocks(benchmark: DataFrame, window: int, block_words: int) -> Iterator
 
 
 def scan(
-    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS
+    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS, name: str = "hits"
 ) -> DataFrame:
-    """Every row and column of ``docs``, with what the automaton finds in its whole text, in the struct ``hits``:
+    """Every row and column of ``docs``, with what the automaton finds in its whole text, in the struct ``hits`` (or ``name``):
     n_words, spans (word positions [from, to) inside any window of an item), items (ids, sorted as text) and
     longest (words of the longest match with any item).
 
@@ -206,9 +206,9 @@ def scan(
     whatever their names; ``hits`` itself is replaced. The items are read in blocks of bounded size, each block
     passing over all rows, so neither driver nor worker ever holds more than one block's automaton at once per pass.
     """
-    plain = docs.drop("hits")
+    plain = docs.drop(name)
     hit_type = "struct<n_words:bigint,spans:array<struct<a:bigint,b:bigint>>,items:array<string>,longest:bigint>"
-    out = plain.select("*", F.lit(None).cast(hit_type).alias("hits"))
+    out = plain.select("*", F.lit(None).cast(hit_type).alias(name))
     for block in item_blocks(benchmark, window, block_words):
 
         def run(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
@@ -238,8 +238,8 @@ def scan(
     return out
 
 
-def n_hit() -> F.Column:
-    return F.aggregate("hits.spans", F.lit(0).cast("long"), lambda n, s: n + s.b - s.a)
+def n_hit(name: str = "hits") -> Column:
+    return F.aggregate(f"{name}.spans", F.lit(0).cast("long"), lambda n, s: n + s.b - s.a)
 
 
 def decontaminate(
@@ -257,10 +257,10 @@ def decontaminate(
     """
     columns = docs.columns
     spans_type = "array<struct<a:bigint,b:bigint>>"
-    found = scan(docs, benchmark, window, block_words)
-    kept = found.filter(n_hit() <= F.col("hits.n_words") * max_coverage)
+    found = scan(docs, benchmark, window, block_words, "__hits")
+    kept = found.filter(n_hit("__hits") <= F.col("__hits.n_words") * max_coverage)
     blocks = list(item_blocks(benchmark, window, block_words))
-    slim = kept.select(*columns, F.col("hits.spans").cast(spans_type).alias("__spans"))
+    slim = kept.select(*columns, F.col("__hits.spans").cast(spans_type).alias("__spans"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

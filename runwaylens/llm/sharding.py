@@ -114,14 +114,17 @@ def _round(state: DataFrame, shards: int, quota: int) -> DataFrame:
     asked = state.join(best, group)
     priority = F.pmod(F.xxhash64(*group, F.lit(6)), F.lit(PRIORITIES))
     asked = asked.withColumn("priority", F.when(F.col("label") != F.col("wanted"), priority))
-    load = state.groupBy(F.col("label").alias("wanted")).agg(F.sum("c").alias("load"))
+    # Members that ask to leave make room for those that ask to come; what then does not fit is cut at the end.
+    staying = asked.groupBy(F.col("label").alias("wanted")).agg(
+        F.sum(F.when(F.col("priority").isNull(), F.col("c")).otherwise(0)).alias("staying")
+    )
     moving = asked.filter("priority is not null").groupBy("wanted", "priority").agg(F.sum("c").alias("c"))
     # PRIORITIES rows for each shard, whatever the number of documents.
     upto = F.sum("c").over(Window.partitionBy("wanted").orderBy("priority"))
     admitted = (
         moving.withColumn("upto", upto)
-        .join(load, "wanted", "left")
-        .filter(F.col("upto") + F.coalesce("load", F.lit(0)) <= quota)
+        .join(staying, "wanted", "left")
+        .filter(F.col("upto") + F.coalesce("staying", F.lit(0)) <= quota)
         .groupBy("wanted")
         .agg(F.max("priority").alias("last"))
     )
