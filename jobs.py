@@ -9,17 +9,19 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from runwaylens.operators import profile, runlog
 from runwaylens.operators.cleaning import clean_facts, cleaning_report
 from runwaylens.operators.sampling import write_sample_suite
 from runwaylens.plans import reports
-from runwaylens.schema import FACT_SCHEMA, SAMPLE_FRACTIONS
+from runwaylens.schema import DATE_FORMATS, FACT_SCHEMA, RUN_LOG_SCHEMA, SAMPLE_FRACTIONS
 from runwaylens.sources.readers import read_fact_csv, read_facts, read_raw_csv, read_run_log
 from runwaylens.sources.writers import (
     REPORT_COLUMNS,
     convert_csv_folders,
     numeric_key,
+    preview,
     sample_results,
     write_csv,
     write_delimited,
@@ -38,6 +40,7 @@ SAMPLE_KEYS = {
     "analysis_3": ["origin", "rank", "carrier"],
 }
 NUMERIC_KEYS = {"month", "rank"}
+PREVIEWS = {"airline-stats": "analysis_1", "delay-report": "analysis_2", "carrier-ranking": "analysis_3"}
 
 
 def load(spark: SparkSession, path: str) -> DataFrame:
@@ -47,7 +50,7 @@ def load(spark: SparkSession, path: str) -> DataFrame:
 
 def clean(spark: SparkSession, a: argparse.Namespace) -> None:
     raw = read_raw_csv(spark, a.input)
-    cleaned = clean_facts(raw)
+    cleaned = clean_facts(raw, a.date_formats)
     write_csv(cleaned, a.output) if a.output.endswith(".csv") else write_parquet(as_facts(cleaned), a.output)
     if a.report:
         write_delimited(cleaning_report(raw), a.report, single_file=True)
@@ -60,17 +63,23 @@ def as_facts(df: DataFrame) -> DataFrame:
 
 
 def convert(spark: SparkSession, a: argparse.Namespace) -> None:
-    convert_csv_folders(spark, a.folders, a.output).show(1000, truncate=False)
+    status = convert_csv_folders(spark, a.folders, a.output)
+    write_delimited(status, f"{a.output.rstrip('/')}_status")
+    # A glance only; the whole status is in the written table.
+    spark.read.csv(f"{a.output.rstrip('/')}_status", header=True, sep="|").orderBy("source_file").show(truncate=False)
 
 
 def sample(spark: SparkSession, a: argparse.Namespace) -> None:
-    write_sample_suite(spark, a.input, a.output, a.fractions, exact=not a.fast).show(truncate=False)
+    manifest = write_sample_suite(spark, a.input, a.output, a.fractions, exact=not a.fast)
+    write_delimited(manifest, f"{a.output.rstrip('/')}/manifest", single_file=True)
+    manifest.show(len(a.fractions), truncate=False)
 
 
 def report(spark: SparkSession, a: argparse.Namespace) -> None:
     write_delimited(REPORTS[a.job](load(spark, a.input)), a.output, single_file=a.single_file)
-    # The preview reads what was written, so the report is not computed again.
-    spark.read.csv(a.output, header=True, sep="|").show(10, truncate=False)
+    # The preview reads what was written, so the report is not computed again, and sorts it anew.
+    written = spark.read.csv(a.output, header=True, sep="|")
+    preview(written, sort_keys(PREVIEWS[a.job])).show(10, truncate=False)
 
 
 def profiles(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -101,23 +110,53 @@ def compare(spark: SparkSession, a: argparse.Namespace) -> None:
     parts = {
         "compare": compared.orderBy("analysis", "technology"),
         "summary": runlog.compare_summary(compared),
-        "speedups": runlog.speedups(logs[0][0]),
+        "speedups": runlog.speedups(runs),
         "throughput": runlog.throughput(runs),
         "scalability": runlog.scalability(runs),
-        "format_sizes": runlog.format_sizes(logs[0][0]),
     }
+    small = {}
+    for (log, env), technologies, analyses in [(x, names(x[0], "technology"), names(x[0], "analysis")) for x in logs]:
+        small[f"format_sizes_{env}"] = runlog.format_sizes(log)
+        small[f"pivot_{env}"] = runlog.elapsed_pivot(log, technologies)
+        small[f"matrix_{env}"] = runlog.elapsed_matrix(log, analyses)
+        for technology in technologies:
+            parts[f"fixed_variable_{env}/{technology}"] = runlog.fixed_variable(with_environment(log, env), technology)
     for name, part in parts.items():
+        write_delimited(part, f"{a.output}/{name}", single_file=a.single_file)
+    for name, part in small.items():
         write_delimited(part, f"{a.output}/{name}", single_file=True)
 
 
+def names(runs: DataFrame, column: str) -> list[str]:
+    """The few names in a key column of a run log, which become columns or folders."""
+    return [r[0] for r in runs.select(column).where(F.col(column).isNotNull()).distinct().orderBy(column).collect()]
+
+
+def sort_keys(name: str) -> list:
+    return [numeric_key(k) if k in NUMERIC_KEYS else k for k in SAMPLE_KEYS[name]]
+
+
+def save_runs(spark: SparkSession, a: argparse.Namespace) -> None:
+    """The log with new runs added or put in place of old ones, written to a new folder."""
+    old, new = (spark.read.csv(path, header=True, schema=RUN_LOG_SCHEMA) for path in (a.log, a.new))
+    merged = runlog.upsert(with_environment(old, a.environment), with_environment(new, a.environment))
+    write_csv(merged.drop("action"), a.output)
+
+
+def with_environment(runs: DataFrame, environment: str) -> DataFrame:
+    """Runs that name no environment belong to the given one."""
+    return runs.withColumn("environment", F.coalesce("environment", F.lit(environment)))
+
+
 def sample_results_job(spark: SparkSession, a: argparse.Namespace) -> None:
     """First rows of each written report, given as analysis_N=path."""
     chosen = dict(entry.split("=", 1) for entry in a.results)
     results = {}
     for name, path in chosen.items():
-        keys = [numeric_key(k) if k in NUMERIC_KEYS else k for k in SAMPLE_KEYS[name]]
-        results[name] = (path, REPORT_COLUMNS[name], keys)
-    sample_results(spark, results, a.output).show(truncate=False)
+        results[name] = (path, REPORT_COLUMNS[name], sort_keys(name))
+    status = sample_results(spark, results, a.output)
+    write_delimited(status, f"{a.output.rstrip('/')}/status", single_file=True)
+    status.show(len(results), truncate=False)
 
 
 def parser() -> argparse.ArgumentParser:
@@ -131,7 +170,9 @@ def parser() -> argparse.ArgumentParser:
         job.set_defaults(run=run)
         return job
 
-    add("clean", clean, "input", "output").add_argument("--report", help="folder for the counts per rule")
+    job = add("clean", clean, "input", "output")
+    job.add_argument("--report", help="folder for the counts per rule")
+    job.add_argument("--date-formats", nargs="+", default=DATE_FORMATS, help="forms of dates other than year-month-day")
     job = add("convert", convert, "output")
     job.add_argument("folders", nargs="+")
     job = add("sample", sample, "input", "output")
@@ -141,7 +182,8 @@ def parser() -> argparse.ArgumentParser:
         add(name, report, "input", "output").add_argument("--single-file", action="store_true")
     add("sample-results", sample_results_job, "output").add_argument("results", nargs="+")
     add("profile", profiles, "input", "output")
-    add("compare-runs", compare, "local", "cluster", "output")
+    add("compare-runs", compare, "local", "cluster", "output").add_argument("--single-file", action="store_true")
+    add("save-runs", save_runs, "log", "new", "output").add_argument("--environment", default="local")
     return p
 
 

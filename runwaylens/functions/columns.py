@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from runwaylens.schema import MISSING_TOKENS, MONTH_LABELS, WHITESPACE
+from runwaylens.schema import DATE_FORMATS, MISSING_TOKENS, MONTH_LABELS, WHITESPACE
 
 
 def as_column(c: str | Column) -> Column:
@@ -38,9 +38,16 @@ def to_number(c: str | Column) -> Column:
     return nan_to_null(as_column(c).try_cast("double"))
 
 
-def to_date_text(c: str | Column, fmt: str = "yyyy-MM-dd") -> Column:
-    """The date as ``yyyy-MM-dd`` text, NULL where it cannot be parsed."""
-    return F.date_format(F.try_to_timestamp(as_column(c), F.lit(fmt)), "yyyy-MM-dd")
+def to_date_text(c: str | Column, formats: Sequence[str] = tuple(DATE_FORMATS)) -> Column:
+    """The date as ``yyyy-MM-dd`` text, NULL where none of the forms fits.
+
+    A year, month and day (and a time behind it, which is cut off) are read by a cast; the other
+    forms are tried in order on what is left.
+    """
+    c = strip_text(c)
+    plain = F.when(c.rlike(r"^\d{4}-\d{1,2}-\d{1,2}([ T].*)?$"), c).try_cast("date")
+    others = [F.try_to_timestamp(c, F.lit(f)).cast("date") for f in formats]
+    return F.coalesce(plain, *others).cast("string")
 
 
 def to_flag(c: str | Column) -> Column:

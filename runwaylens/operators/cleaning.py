@@ -7,9 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from runwaylens.functions import in_range_or_null, out_of_range, present, strip_upper, to_date_text, to_flag, to_number
+from runwaylens.functions import in_range_or_null, out_of_range, present, strip_text, strip_upper, to_date_text, to_flag, to_number
 from runwaylens.schema import (
     CODE_COLUMNS,
+    DATE_FORMATS,
     DELAY_RANGE,
     FACT_COLUMNS,
     MANDATORY_COLUMNS,
@@ -28,17 +29,17 @@ def drop_missing_keys(df: DataFrame, keys: Sequence[str] = tuple(MANDATORY_COLUM
 
 
 def drop_blank_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keep rows whose keys hold something other than spaces."""
+    """Keep rows whose keys hold something other than white space."""
     for k in keys:
-        df = df.where(F.length(F.trim(k)) > 0)
+        df = df.where(F.length(strip_text(k)) > 0)
     return df
 
 
-def typed(df: DataFrame) -> DataFrame:
+def typed(df: DataFrame, date_formats: Sequence[str] = tuple(DATE_FORMATS)) -> DataFrame:
     """Text cells to their types, bad cells to NULL; keys are not yet trimmed."""
     rules = {c: to_number(c) for c in NUMBER_COLUMNS}
     rules |= {c: F.col(c).try_cast("int") for c in ("year", "month")}
-    rules |= {"fl_date": to_date_text("fl_date"), "cancelled": to_flag("cancelled")}
+    rules |= {"fl_date": to_date_text("fl_date", date_formats), "cancelled": to_flag("cancelled")}
     return df.select(*[rules[c].alias(c) if c in rules else F.col(c) for c in df.columns])
 
 
@@ -57,14 +58,14 @@ def normalise_codes(df: DataFrame, columns: Sequence[str] = tuple(CODE_COLUMNS))
     return df.select(*[strip_upper(c).alias(c) if c in columns else F.col(c) for c in df.columns])
 
 
-def typed_facts(raw: DataFrame) -> DataFrame:
+def typed_facts(raw: DataFrame, date_formats: Sequence[str] = tuple(DATE_FORMATS)) -> DataFrame:
     """Known columns, typed, without missing-value tokens.
 
     Only codes need the token list: no token is a number or a date.
     """
     present = select_present(raw)
     codes = [c for c in CODE_COLUMNS if c in present.columns]
-    return typed(normalise_missing(present, codes))
+    return typed(normalise_missing(present, codes), date_formats)
 
 
 def evaluated_once(df: DataFrame) -> DataFrame:
@@ -78,7 +79,7 @@ def evaluated_once(df: DataFrame) -> DataFrame:
     return df.select(F.inline(F.array(F.struct(*df.columns))))
 
 
-def clean_facts(raw: DataFrame) -> DataFrame:
+def clean_facts(raw: DataFrame, date_formats: Sequence[str] = tuple(DATE_FORMATS)) -> DataFrame:
     """Cleaned fact rows of a raw text table.
 
     The order of the steps matters: keys are checked before trimming, so a key of
@@ -87,7 +88,7 @@ def clean_facts(raw: DataFrame) -> DataFrame:
     task before it shuffles, so even a row repeated in a third of the table is
     sent only once per task.
     """
-    kept = keep_delay_range(drop_missing_keys(evaluated_once(typed_facts(raw))))
+    kept = keep_delay_range(drop_missing_keys(evaluated_once(typed_facts(raw, date_formats))))
     return normalise_codes(kept).distinct()
 
 

@@ -1,32 +1,12 @@
-"""Joins whose small side is checked before it is broadcast, and null-safe joins."""
+"""Null-safe joins. Which side is broadcast is left to the optimizer, which knows the sizes in bytes."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 200_000
-
-
-def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether the table has at most ``max_rows`` rows; a footer read for plain Parquet tables."""
-    return df.count() <= max_rows
-
-
-def join_lookup(
-    facts: DataFrame, lookup: DataFrame, on: str | list[str], how: str = "inner", max_rows: int = BROADCAST_ROWS
-) -> DataFrame:
-    """Attach a lookup table: broadcast where its counted size allows, else a shuffle join.
-
-    Without the check a small fact table could end up as the broadcast side, which leaves
-    its rows to the few tasks of the lookup table.
-    """
-    if is_small(lookup, max_rows):
-        lookup = F.broadcast(lookup)
-    return facts.join(lookup, on, how)
-
 
 def same_keys(left: Sequence[str], right: Sequence[str]) -> Column:
     """Join condition under which NULL keys match each other."""

@@ -31,8 +31,11 @@ def full_runs(runs: DataFrame) -> DataFrame:
 
 
 def first_by(value: str, order: str = "timestamp") -> Column:
-    """Aggregate: the earliest value of the group."""
-    return F.min_by(value, order)
+    """Aggregate: the earliest value of the group.
+
+    Rows without a time come last; rows of the same time go by their key and the value.
+    """
+    return F.min_by(value, F.struct(F.col(order).isNull(), F.col(order), *RUN_KEY, value))
 
 
 def elapsed_pivot(runs: DataFrame, technologies: Sequence[str]) -> DataFrame:
@@ -46,8 +49,8 @@ def elapsed_matrix(runs: DataFrame, analyses: Sequence[str]) -> DataFrame:
 
 
 def speedups(runs: DataFrame) -> DataFrame:
-    """How many times faster each full run is than the slowest one of its analysis."""
-    rows = with_group_figures(full_runs(runs), ["analysis"], slowest=F.max("elapsed_sec"))
+    """How many times faster each full run is than the slowest one of its analysis and environment."""
+    rows = with_group_figures(full_runs(runs), ["analysis", "environment"], slowest=F.max("elapsed_sec"))
     return rows.select(
         "analysis", "technology", "environment", "elapsed_sec", F.try_divide("slowest", "elapsed_sec").alias("speedup")
     )
@@ -62,9 +65,9 @@ def throughput(runs: DataFrame) -> DataFrame:
 
 
 def fixed_variable(runs: DataFrame, technology: str, share: float = 0.9) -> DataFrame:
-    """Fixed cost (a share of the fastest run of the analysis) and the rest of each run."""
+    """Fixed cost (a share of the fastest run of the analysis and environment) and the rest of each run."""
     rows = with_group_figures(
-        runs.where(F.col("technology") == technology), ["analysis"], fastest=F.min("elapsed_sec")
+        runs.where(F.col("technology") == technology), ["analysis", "environment"], fastest=F.min("elapsed_sec")
     )
     fixed = F.col("fastest") * F.lit(share)
     return rows.select(
@@ -148,18 +151,27 @@ def combined_log(*logs: tuple[DataFrame, str]) -> DataFrame:
 
 
 def upsert(old: DataFrame, new: DataFrame, key: Sequence[str] = tuple(RUN_KEY)) -> DataFrame:
-    """Old log with each new row added, or put in place of the old row with the same key.
+    """Old log with each new row added, or put in place of one old row with the same key.
 
-    Among several new rows of one key the latest wins. ``action`` tells kept, added and
-    replaced rows apart. It is one aggregate that combines inside each task, so a key with
-    very many rows is not gathered anywhere.
+    Among several new rows of one key the latest wins (no time is earliest; equal times go by the other columns).
+    Of several old rows with that key the earliest is replaced and the rest stay. ``action`` tells kept, added and
+    replaced rows apart. Old rows that no new row concerns are not touched, whatever they repeat.
     """
-    rows = old.withColumn("is_new", F.lit(0)).unionByName(new.withColumn("is_new", F.lit(1)))
     rest = [c for c in old.columns if c not in key]
-    latest = F.max_by(F.struct(*rest), F.struct("is_new", "timestamp"))
-    merged = rows.groupBy(*key).agg(
-        latest.alias("row"), F.max("is_new").alias("has_new"), F.min("is_new").alias("only_new")
-    )
-    action = F.when(F.col("has_new") == 0, "kept").when(F.col("only_new") == 1, "added").otherwise("replaced")
+    order = F.struct(F.col("timestamp").isNotNull(), "timestamp", *[c for c in rest if c != "timestamp"])
+    latest = new.groupBy(*key).agg(F.max_by(F.struct(*rest), order).alias("row"))
+    names = [f"new_{k}" for k in key]
+    changed = latest.select(*[F.col(k).alias(n) for k, n in zip(key, names)])
+    untouched = old.join(changed, same_keys(key, names), "left_anti").withColumn("action", F.lit("kept"))
+    # Equal old rows are counted, so that one of them can be taken away.
+    met = old.join(changed, same_keys(key, names), "left_semi").groupBy(*old.columns).agg(F.count(F.lit(1)).alias("n"))
+    first_key = F.struct(F.col("timestamp").isNull(), F.struct(*rest))
+    earliest = met.groupBy(*[F.col(k).alias(n) for k, n in zip(key, names)]).agg(F.min(first_key).alias("first"))
+    matched = met.join(earliest, same_keys(key, names))
+    left = F.col("n") - first_key.eqNullSafe(F.col("first")).cast("long")
+    others = matched.withColumn("copy", F.explode(F.array_repeat(F.lit(1), left.cast("int"))))
+    others = others.select(*old.columns, F.lit("kept").alias("action"))
+    placed = latest.join(earliest, same_keys(key, names), "left")
+    action = F.when(F.col("first").isNull(), "added").otherwise("replaced")
     columns = [F.col(c) if c in key else F.col(f"row.{c}") for c in old.columns]
-    return merged.select(*columns, action.alias("action"))
+    return untouched.unionByName(others).unionByName(placed.select(*columns, action.alias("action")))

@@ -29,7 +29,10 @@ def _with_order(df: DataFrame, seed: int, key: Sequence[str] | None) -> DataFram
     if key:
         text = F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in key])
         digits = F.substring(F.md5(text), 1, HASH_BITS // 4)
-        return df.withColumn("order_hash", F.conv(digits, 16, 10).cast("long")).withColumn("order_tie", F.struct(*key))
+        # Rows that repeat a key differ by their position.
+        return df.withColumn("order_tie", F.struct(*key, F.monotonically_increasing_id().alias("row"))).withColumn(
+            "order_hash", F.conv(digits, 16, 10).cast("long")
+        )
     row = F.monotonically_increasing_id()
     mixed = F.shiftrightunsigned(F.xxhash64(F.lit(seed), "order_tie"), 64 - HASH_BITS)
     return df.withColumn("order_tie", row).withColumn("order_hash", mixed)
@@ -61,8 +64,8 @@ def sample_exact(
     that holds the cut-off, then by ranking what is left (one row in 16 million). The
     sample itself is then a plain filter, with no sort, shuffle or row limit.
 
-    With ``key`` (columns that identify a row) the same rows are chosen on any cluster.
-    Without it rows are numbered by position, so copies of a row do not matter; ``df``
+    With ``key`` (columns that identify a row) the same rows are chosen on any cluster; rows that
+    repeat a key go by their position. Without a key rows are numbered by position, so copies of a row do not matter; ``df``
     must then yield the same rows in the same order on every scan. Say so with
     ``fixed_order`` (Parquet files read directly), else the rows are first written to
     the shared folder.

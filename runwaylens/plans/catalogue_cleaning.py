@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from runwaylens.functions import strip_upper
 from runwaylens.operators import cleaning, profile, sampling
-from runwaylens.plans.oracle import ARR_OK, DEP_OK, HAS_KEYS, NORMALISED, missing, number, over, rounded
+from runwaylens.plans.oracle import ARR_OK, DEP_OK, HAS_KEYS, NORMALISED, missing, number, over, rounded, stripped
 from runwaylens.plans.registry import query
 from runwaylens.schema import FACT_COLUMNS, NUMBER_COLUMNS, SAMPLE_FRACTIONS
 from runwaylens.sources.readers import parse_positional
@@ -65,7 +65,7 @@ def _(spark, sf):
 
 @query(
     "blank_key_skip",
-    over("raw", "SELECT * FROM raw WHERE length(trim(op_unique_carrier)) > 0 AND length(trim(origin)) > 0"),
+    over("raw", f"SELECT * FROM raw WHERE length({stripped('op_unique_carrier')}) > 0 AND length({stripped('origin')}) > 0"),
 )
 def _(spark, sf):
     return cleaning.drop_blank_keys(raw_flights(spark, sf), ["op_unique_carrier", "origin"])
@@ -140,7 +140,7 @@ SQL_LINES = f"""
 
 
 def _sql_cell(i: int, c: str) -> str:
-    cell = f"trim(f[{i + 1}])"
+    cell = stripped(f"f[{i + 1}]")
     if c in NUMBER_COLUMNS or c == "cancelled":
         return f"{number(cell)} AS {c}"
     if c in ("year", "month"):
@@ -149,14 +149,14 @@ def _sql_cell(i: int, c: str) -> str:
 
 
 def _sql_numeric(i: int) -> str:
-    cell = f"trim(f[{i + 1}])"
+    cell = stripped(f"f[{i + 1}]")
     return f"(({missing(cell)}) IS NULL OR TRY_CAST({cell} AS DOUBLE) IS NOT NULL)"
 
 
 MALFORMED = f"""
   SELECT {", ".join(_sql_cell(i, c) for i, c in enumerate(FACT_COLUMNS))}
-  FROM (SELECT string_split(trim(value), ',') AS f FROM lines)
-  WHERE len(f) >= 15 AND f[1] <> 'fl_date' AND trim(f[3]) <> 'month' AND trim(f[4]) <> '' AND trim(f[5]) <> ''
+  FROM (SELECT string_split({stripped('value')}, ',') AS f FROM lines)
+  WHERE len(f) >= 15 AND f[1] <> 'fl_date' AND {stripped('f[3]')} NOT IN ('month', '') AND {stripped('f[4]')} <> '' AND {stripped('f[5]')} <> ''
     AND {_sql_numeric(6)} AND {_sql_numeric(7)} AND {_sql_numeric(8)}
 """
 

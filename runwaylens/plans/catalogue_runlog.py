@@ -17,6 +17,7 @@ TECHNOLOGIES = ["tech_0", "tech_1", "tech_2", "tech_3"]
 ANALYSES = ["click", "error", "purchase", "signup", "view"]
 
 POSITION = f"CAST(nullif(list_position({SIZES}, notes), 0) - 1 AS INT)"
+EARLIEST = "(timestamp IS NULL, timestamp, analysis, technology, environment, input_file, elapsed_sec)"
 FULL = "SELECT * FROM runs WHERE notes = 'full_dataset'"
 
 
@@ -38,7 +39,7 @@ def _(spark, sf):
 
 def _pivot(row: str, column: str, values: list[str]) -> str:
     picks = ", ".join(
-        f"arg_min(elapsed_sec, timestamp) FILTER (WHERE {column} = '{v}') AS \"{v}\"" for v in values
+        f"arg_min(elapsed_sec, {EARLIEST}) FILTER (WHERE {column} = '{v}') AS \"{v}\"" for v in values
     )
     return over("runs", f"SELECT {row}, {picks} FROM runs WHERE notes = 'full_dataset' GROUP BY {row}")
 
@@ -72,7 +73,7 @@ def _(spark, sf):
     over(
         "runs",
         "SELECT analysis, technology, environment, elapsed_sec, "
-        "max(elapsed_sec) OVER (PARTITION BY analysis) / elapsed_sec AS speedup FROM full_runs",
+        "max(elapsed_sec) OVER (PARTITION BY analysis, environment) / elapsed_sec AS speedup FROM full_runs",
         full_runs=FULL,
     ),
 )
@@ -100,7 +101,7 @@ def _(spark, sf):
         f"""
         SELECT analysis, environment, notes, {POSITION} AS sample_order, elapsed_sec, fixed_sec,
           greatest(elapsed_sec - fixed_sec, 0.0) AS variable_sec
-        FROM (SELECT *, min(elapsed_sec) OVER (PARTITION BY analysis) * CAST(0.9 AS DOUBLE) AS fixed_sec
+        FROM (SELECT *, min(elapsed_sec) OVER (PARTITION BY analysis, environment) * CAST(0.9 AS DOUBLE) AS fixed_sec
               FROM runs WHERE technology = 'tech_1')
         """,
     ),
@@ -123,7 +124,7 @@ def _(spark, sf):
 
 def _side(env: str) -> str:
     return (
-        f"SELECT analysis, technology, arg_min(elapsed_sec, timestamp) AS {env}_sec FROM full_runs "
+        f"SELECT analysis, technology, arg_min(elapsed_sec, {EARLIEST}) AS {env}_sec FROM full_runs "
         f"WHERE environment = '{env}' GROUP BY ALL"
     )
 
@@ -166,7 +167,7 @@ def _(spark, sf):
 
 def _sizes(suffix: str) -> str:
     return (
-        f"SELECT notes, arg_min(input_size_mb, timestamp) AS {suffix}_mb FROM runs "
+        f"SELECT notes, arg_min(input_size_mb, {EARLIEST.replace("elapsed_sec", "input_size_mb")}) AS {suffix}_mb FROM runs "
         f"WHERE input_file LIKE '%.{suffix}' GROUP BY notes"
     )
 

@@ -7,13 +7,17 @@ from runwaylens.schema import MISSING_TOKENS, NUMBER_COLUMNS
 FLIGHTS = """
   WITH b AS (
     SELECT l.l_orderkey AS ok, l.l_partkey AS pk, l.l_suppkey AS sk, l.l_linenumber AS ln,
-           CAST(l.l_shipdate AS DATE) AS d, l.l_returnflag AS rf, l.l_linestatus AS ls,
+           CASE WHEN l.l_returnflag = 'A' AND month(CAST(l.l_shipdate AS DATE)) = 2
+             THEN CAST(CAST(l.l_shipdate AS DATE) - INTERVAL 1 MONTH AS DATE)
+           WHEN l.l_returnflag = 'A' AND month(CAST(l.l_shipdate AS DATE)) = 7
+             THEN CAST(CAST(l.l_shipdate AS DATE) + INTERVAL 1 MONTH AS DATE)
+           ELSE CAST(l.l_shipdate AS DATE) END AS d, l.l_returnflag AS rf, l.l_linestatus AS ls,
            n.n_name AS org, n.n_nationkey AS nk, l.l_orderkey * 7 + l.l_linenumber AS k
     FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey JOIN nation n ON s.s_nationkey = n.n_nationkey
   ), c AS (
     SELECT b.*, CASE WHEN k % 53 = 0 OR (nk % 11 = 3 AND rf = 'N') THEN 1 ELSE 0 END AS cx,
            (pk * 37 + ok * 11 + ln * 13) % 200 - 40 AS dd
-    FROM b WHERE NOT (rf = 'A' AND month(d) IN (2, 7))
+    FROM b
   ), e AS (
     SELECT c.*, nk % 11 AS g, CASE WHEN cx = 1 THEN NULL ELSE dd END AS dep,
            CASE WHEN cx = 1 OR k % 59 = 0 THEN NULL ELSE dd - 6 + (sk * 5 + ln) % 13 END AS arr FROM c
@@ -47,7 +51,7 @@ RAW = """
     CAST(year AS STRING) AS year, CAST(month AS STRING) AS month,
     CASE h % 5 WHEN 0 THEN lower(op_unique_carrier) WHEN 1 THEN '  ' || op_unique_carrier
       ELSE op_unique_carrier END AS op_unique_carrier,
-    CASE WHEN h % 71 = 0 THEN '   ' WHEN h % 5 = 2 THEN chr(9) || origin || chr(10) ELSE origin END AS origin,
+    CASE WHEN h % 71 = 0 THEN chr(9) || ' ' WHEN h % 5 = 2 THEN chr(9) || origin || chr(10) ELSE origin END AS origin,
     dest,
     CASE WHEN h % 41 = 0 THEN 'NA' WHEN h % 43 = 0 THEN 'nan' WHEN h % 61 = 0 THEN '1500' WHEN h % 67 = 0 THEN '-121'
          WHEN h % 73 = 0 THEN '1440' WHEN h % 79 = 0 THEN '-120' ELSE CAST(CAST(dep_delay AS INT) AS STRING) END
@@ -66,13 +70,14 @@ RAW = """
 
 RUNS = """
   WITH e AS (
-    SELECT event_id, ts, event_type AS analysis, concat('tech_', CAST(user_id % 4 AS STRING)) AS technology,
+    SELECT event_id, ts, event_type AS analysis,
+      CASE WHEN event_type = 'error' AND user_id % 4 = 3 AND CAST(floor(event_id / 6) AS BIGINT) % 2 = 0 THEN 'tech_2'
+        ELSE concat('tech_', CAST(user_id % 4 AS STRING)) END AS technology,
       CASE WHEN CAST(floor(event_id / 6) AS BIGINT) % 2 = 0 THEN 'local' ELSE 'cluster' END AS environment,
       event_id % 6 AS sz, CAST(ROUND(value * 100) AS DOUBLE) + 1 AS elapsed_sec
     FROM events
   ), r AS (
     SELECT e.*, row_number() OVER (PARTITION BY analysis, technology, environment, sz ORDER BY event_id) AS rn FROM e
-    WHERE NOT (analysis = 'error' AND technology = 'tech_3' AND environment = 'local')
   )
   SELECT ts AS timestamp, analysis, technology, environment,
     concat('data/sample_', CAST(sz AS STRING), CASE WHEN technology = 'tech_0' THEN '.csv' ELSE '.parquet' END)
@@ -98,6 +103,11 @@ def number(c: str) -> str:
     return f"CASE WHEN NOT isnan(TRY_CAST({c} AS DOUBLE)) THEN TRY_CAST({c} AS DOUBLE) END"
 
 
+def stripped(c: str) -> str:
+    """Text without white space at either end."""
+    return f"regexp_replace({c}, '^\\s+|\\s+$', '', 'g')"
+
+
 def code(c: str) -> str:
     return f"upper(regexp_replace({c}, '^\\s+|\\s+$', '', 'g'))"
 

@@ -52,6 +52,8 @@ MISSING_TOKENS = [
 ]
 
 # The characters that count as whitespace around a code.
+# Forms of dates other than year-month-day, tried in order.
+DATE_FORMATS = ["M/d/yyyy", "M/d/yyyy h:mm:ss a", "M/d/yyyy H:mm:ss", "yyyy/M/d", "yyyyMMdd", "d.M.yyyy"]
 WHITESPACE = (
     " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008"
     "\u2009\u200a\u2028\u2029\u202f\u205f\u3000"

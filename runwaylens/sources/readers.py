@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from runwaylens.functions import missing_to_null, nan_to_null, position_in, to_number
+from runwaylens.functions import missing_to_null, nan_to_null, position_in, strip_text, to_number
 from runwaylens.schema import (
     FACT_COLUMNS,
     FACT_SCHEMA,
@@ -60,14 +60,14 @@ def read_fact_csv(spark: SparkSession, path: str | list[str], schema: T.StructTy
 
 
 def read_facts(spark: SparkSession, path: str) -> DataFrame:
-    """Fact rows from Parquet as they are; pass them through ``without_nan`` if other tools wrote NaN."""
-    return spark.read.parquet(path)
+    """Fact rows from Parquet; NaN, which other tools write for a missing number, becomes NULL."""
+    return without_nan(spark.read.parquet(path))
 
 
 def parse_positional(
     lines: DataFrame,
     columns: Sequence[str] = tuple(FACT_COLUMNS),
-    required: Sequence[str] = ("op_unique_carrier", "origin"),
+    required: Sequence[str] = ("op_unique_carrier", "origin", "month"),
     numbers: Sequence[str] = ("dep_delay", "arr_delay", "cancelled"),
     drop_bad_numbers: bool = True,
 ) -> DataFrame:
@@ -79,15 +79,15 @@ def parse_positional(
     """
     # Exploding a one-element array makes the split a column of its own: the conditions
     # below then read it instead of each splitting the line again.
-    split_once = F.explode(F.array(F.split(F.trim("value"), ","))).alias("fields")
+    split_once = F.explode(F.array(F.split(strip_text("value"), ","))).alias("fields")
     month_at = list(columns).index("month") if "month" in columns else 0
     kept = (
         lines.select(split_once)
         .where(F.size("fields") >= len(columns))
-        .where((F.get("fields", 0) != columns[0]) & (F.trim(F.get("fields", month_at)) != "month"))
+        .where((F.get("fields", 0) != columns[0]) & (strip_text(F.get("fields", month_at)) != "month"))
     )
-    text = kept.select(*[F.trim(F.get("fields", i)).alias(c) for i, c in enumerate(columns)])
-    for c in required:
+    text = kept.select(*[strip_text(F.get("fields", i)).alias(c) for i, c in enumerate(columns)])
+    for c in (c for c in required if c in columns):
         text = text.where(F.length(c) > 0)
     if drop_bad_numbers:
         for c in numbers:
@@ -162,26 +162,31 @@ def input_stats(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def source_path() -> Column:
+    """Full path of the file that a row comes from, as people write it."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
 def read_csv_folders(spark: SparkSession, folders: Sequence[str], schema: T.StructType = FACT_SCHEMA) -> DataFrame:
-    """Every ``*.csv`` in the folders that exist, with its file name and any unparseable line."""
+    """Every ``*.csv`` in the folders that exist, with the path of its file and any unparseable line.
+
+    A file that cannot be read fails the job; nothing is skipped in silence.
+    """
     found = [f for f in folders if path_exists(spark, f)]
     reader = (
         spark.read.schema(T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())]))
         .option("header", True)
         .option("pathGlobFilter", "*.csv")
         .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("ignoreCorruptFiles", True)
     )
-    name = F.regexp_replace("_metadata.file_name", r"\.csv$", "").alias("source_file")
-    return without_nan(reader.csv(found).select("*", name))
+    return without_nan(reader.csv(found).select("*", source_path().alias("source_file")))
 
 
 def conversion_status(spark: SparkSession, folders: Sequence[str], converted: DataFrame) -> DataFrame:
-    """Rows and bad lines per source file; a file that gave no row at all is reported as no_rows."""
+    """Rows and bad lines per source file, by full path; a file without rows is empty or has only a header."""
     found = [f for f in folders if path_exists(spark, f)]
-    names = listed_files(spark, found, "*.csv").select(
-        F.regexp_extract("path", r"([^/]+)\.csv$", 1).alias("source_file")
-    )
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(found)
+    names = files.select(source_path().alias("source_file"), "length")
     counts = converted.groupBy("source_file").agg(
         F.count(F.lit(1)).alias("rows"), F.count(CORRUPT).alias("bad_rows")
     )
@@ -189,6 +194,9 @@ def conversion_status(spark: SparkSession, folders: Sequence[str], converted: Da
         "source_file",
         F.coalesce("rows", F.lit(0)).alias("rows"),
         F.coalesce("bad_rows", F.lit(0)).alias("bad_rows"),
-        F.when(F.col("rows").isNull(), "no_rows").otherwise("converted").alias("status"),
+        F.when(F.col("rows").isNotNull(), "converted")
+        .when(F.col("length") == 0, "empty")
+        .otherwise("header_only")
+        .alias("status"),
     )
 

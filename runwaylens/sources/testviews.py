@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runwaylens.operators.joins import join_lookup
 from runwaylens.schema import FACT_COLUMNS
 
 
@@ -33,12 +32,15 @@ def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     suppliers = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("sk"), F.col("s_nationkey").alias("nk"))
 
     g = F.col("nk") % 11
-    resting = (F.col("rf") == "A") & F.month("d").isin(2, 7)
+    # Some pairs rest in months 2 and 7: their lines move to the months beside them.
+    away = F.when(F.month("d") == 2, -1).when(F.month("d") == 7, 1)
+    moved = F.when((F.col("rf") == "A") & F.month("d").isin(2, 7), F.add_months("d", away)).otherwise(F.col("d"))
     cancelled = (F.col("k") % 53 == 0) | ((g == 3) & (F.col("rf") == "N"))
     minutes = (F.col("pk") * 37 + F.col("ok") * 11 + F.col("ln") * 13) % 200 - 40
     base = (
-        join_lookup(join_lookup(lines, suppliers, "sk"), nations, "nk")
-        .where(~resting)
+        lines.join(suppliers, "sk")
+        .join(nations, "nk")
+        .withColumn("d", moved)
         .withColumns({"g": g, "cx": cancelled, "dd": minutes})
         .withColumn("arr", F.when(~F.col("cx") & (F.col("k") % 59 != 0), F.col("dd") - 6 + (F.col("sk") * 5 + F.col("ln")) % 13))
     )
@@ -84,7 +86,7 @@ def raw_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     carrier = F.when(hits(5), F.lower("op_unique_carrier")).when(
         F.col("h") % 5 == 1, F.concat(F.lit("  "), "op_unique_carrier")
     )
-    origin = F.when(hits(71), "   ").when(F.col("h") % 5 == 2, F.concat(F.lit("\t"), "origin", F.lit("\n")))
+    origin = F.when(hits(71), "\t ").when(F.col("h") % 5 == 2, F.concat(F.lit("\t"), "origin", F.lit("\n")))
     columns = {
         "fl_date": F.when(hits(37), "not a date").otherwise(F.col("fl_date")),
         "year": F.col("year").cast("string"),
@@ -115,9 +117,10 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("event_id") % 6).alias("sz"),
         (F.round(F.col("value") * 100) + 1).alias("elapsed_sec"),
     )
-    left_out = (F.col("analysis") == "error") & (F.col("technology") == "tech_3") & (F.col("environment") == "local")
+    # One combination has no run: its events count for another technology.
+    gap = (F.col("analysis") == "error") & (F.col("technology") == "tech_3") & (F.col("environment") == "local")
     first = (
-        events.where(~left_out)
+        events.withColumn("technology", F.when(gap, "tech_2").otherwise(F.col("technology")))
         .groupBy("analysis", "technology", "environment", "sz")
         .agg(
             F.min_by("timestamp", "event_id").alias("timestamp"), F.min_by("elapsed_sec", "event_id").alias("elapsed_sec")
