@@ -41,6 +41,7 @@ FIT_WORDS = 12_000
 LOW = -2.0
 # Texts whose new words are judged together.
 CHUNK = 200
+MANY = 5000
 _STEPS = [(a, b) for a in range(1, SPAN - 1) for b in range(1, SPAN - a)]
 _SENTENCE = re.compile(r"[.!?\n]+")
 _START, _END = 1, 2
@@ -76,7 +77,7 @@ def pieces(word: str) -> list[str]:
 
 
 def triples(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Normalised features of short words, as (word number, triple, weight), sorted by both."""
+    """Normalised features of at most MANY short words, as (word number, triple, weight), by word."""
     width = max(map(len, words)) + 2
     codes = np.zeros((len(words), width), np.int64)
     for i, w in enumerate(words):
@@ -91,7 +92,10 @@ def triples(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             keys.append((x[r, c] << 42) | (y[r, c] << 21) | z[r, c])
             weights.append(np.full(len(r), DECAY ** (a + b + 1)))
     row, key, weight = map(np.concatenate, (rows, keys, weights))
-    order = np.lexsort((key, row))
+    # One number to sort by: the word, and 50 bits of the mixed triple (that two of a word agree in these is as good
+    # as impossible; they would then only fail to be added up).
+    mixed = (key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(14)
+    order = np.argsort((row.astype(np.uint64) << np.uint64(50)) | mixed)
     row, key, weight = row[order], key[order], weight[order]
     first = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (key[1:] != key[:-1])])
     weight = np.add.reduceat(weight, first)
@@ -111,6 +115,8 @@ class Model:
 
     def judge(self, words: list[str]) -> np.ndarray:
         """Decision value of each short word."""
+        if len(words) > MANY:
+            return np.concatenate([self.judge(words[i : i + MANY]) for i in range(0, len(words), MANY)])
         if not words:
             return np.empty(0)
         row, key, weight = triples(words)
@@ -126,7 +132,7 @@ class Model:
 class Judge:
     """Worst two words of texts, with the values of words met before kept in bounded memory."""
 
-    def __init__(self, model: Model, most: int = 400_000) -> None:
+    def __init__(self, model: Model, most: int = 600_000) -> None:
         self.model, self.most, self.known = model, most, {}
 
     def worst(self, texts: Sequence[str | None]) -> np.ndarray:
@@ -135,7 +141,7 @@ class Judge:
             docs = []
             for text in texts[start : start + CHUNK]:
                 tokens = [] if text is None else text.lower().split()
-                docs.append(set(tokens).union(spaced(tokens)))
+                docs.append({t if t.isalpha() else letters(t) for t in set(tokens)}.union(spaced(tokens)))
             if len(self.known) > self.most:
                 self.known.clear()
             self._learn([w for w in set().union(*docs) if w not in self.known])
@@ -147,7 +153,7 @@ class Judge:
     def _learn(self, new: list[str]) -> None:
         for start in range(0, len(new), 5000):
             part = new[start : start + 5000]
-            cut = [pieces(letters(w)) for w in part]
+            cut = [pieces(w) for w in part]
             flat = [p for ps in cut for p in ps]
             values = self.model.judge(flat)
             at = 0
