@@ -82,3 +82,23 @@ def test_positional_lines(spark):
     assert rows(strict.select("op_unique_carrier", "dep_delay", "arr_delay", "cancelled")) == [("AA", 5.0, None, 0.0)] * 2
     lenient = parse_positional(df, drop_bad_numbers=False)
     assert sorted(rows(lenient.select("dep_delay")), key=str) == [(5.0,), (5.0,), (None,)]
+
+
+def test_dates_in_other_forms(spark):
+    forms = ["2024-1-5", "2024-01-05 00:00:00", "1/5/2024", "1/5/2024 12:00:00 AM", "2024/01/05", "20240105", " 2024-01-05\t"]
+    bad = ["2024", "13/45/2024", "soon", "", None]
+    df = spark.createDataFrame([(f,) for f in forms + bad], "d string")
+    got = [r[0] for r in df.select(to_date_text("d")).collect()]
+    assert got == ["2024-01-05"] * len(forms) + [None] * len(bad)
+    own = spark.createDataFrame([("05.01.24",)], "d string").select(to_date_text("d", ["dd.MM.yy"])).first()[0]
+    assert own == "2024-01-05"
+
+
+def test_keys_of_white_space_only(spark):
+    df = spark.createDataFrame([("\t", "JFK"), ("AA", " \r"), ("AA", "JFK\t")], "a string, b string")
+    assert rows(drop_blank_keys(df, ["a", "b"])) == [("AA", "JFK\t")]
+
+
+def test_rows_in_another_date_form_survive_cleaning(spark):
+    text = raw(spark, *[{"fl_date": d, "op_unique_carrier": "AA", "origin": "JFK", "month": "1"} for d in ("1/5/2024", "2024-1-6")])
+    assert sorted(r.fl_date for r in clean_facts(text).collect()) == ["2024-01-05", "2024-01-06"]

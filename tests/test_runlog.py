@@ -41,6 +41,16 @@ def test_default_label_and_order(log):
 def test_speedups_are_relative_to_the_slowest(log):
     got = {(r.analysis, r.technology, r.environment): r.speedup for r in runlog.speedups(log).collect()}
     assert got[("3.1", "sql", "local")] == 5.0 and got[("3.1", "hive", "local")] == 1.0
+    # Runs of another environment are no measure.
+    assert got[("3.1", "hive", "cluster")] == 2.0 and got[("3.1", "sql", "cluster")] == 1.0
+
+
+def test_earliest_value_without_times_and_with_equal_times(spark):
+    bare = [(None, "3.1", "sql", "local", f, 1.0, 1, e, 0, None) for f, e in (("b", 7.0), ("a", 9.0))]
+    same = [run("3.2", "sql", "local", e, file=f) for f, e in (("b", 1), ("a", 2))]
+    df = with_run_order(spark.createDataFrame([*bare, *same], RUN_LOG_SCHEMA))
+    assert rows(runlog.elapsed_pivot(df, ["sql"]).orderBy("analysis")) == [("3.1", 9.0), ("3.2", 2.0)]
+    assert rows(runlog.elapsed_pivot(df.orderBy("elapsed_sec"), ["sql"]).orderBy("analysis"))[1] == ("3.2", 2.0)
 
 
 def test_group_figures_keep_missing_keys(spark):
@@ -75,7 +85,7 @@ def test_pivots(log):
 
 def test_fixed_and_variable_cost(log):
     got = {r.elapsed_sec: (r.fixed_sec, r.variable_sec) for r in runlog.fixed_variable(log, "sql").collect()}
-    assert got == {2.0: (0.9, 1.1), 1.0: (0.9, pytest.approx(0.1)), 8.0: (0.9, 7.1)}
+    assert got == {2.0: (0.9, 1.1), 1.0: (0.9, pytest.approx(0.1)), 8.0: (7.2, pytest.approx(0.8))}
 
 
 def test_throughput_and_scalability(log):
@@ -98,6 +108,21 @@ def test_upsert(spark):
     assert runlog.upsert(old, new).drop("action").columns == old.columns
 
 
+def test_upsert_replaces_one_old_row_and_leaves_the_rest(spark):
+    twice = [run("3.1", "sql", "local", 5), run("3.1", "sql", "local", 5), run("3.1", "sql", "local", 7, day=2)]
+    other = [run("3.2", "sql", "local", 6), run("3.2", "sql", "local", 6)]
+    old = spark.createDataFrame(twice + other, RUN_LOG_SCHEMA)
+    new = spark.createDataFrame([run("3.1", "sql", "local", 1, day=3), run("3.1", "sql", "local", 2, day=3)], RUN_LOG_SCHEMA)
+    got = sorted((r.analysis, r.elapsed_sec, r.action) for r in runlog.upsert(old, new).collect())
+    assert got == [
+        ("3.1", 2.0, "replaced"),
+        ("3.1", 5.0, "kept"),
+        ("3.1", 7.0, "kept"),
+        ("3.2", 6.0, "kept"),
+        ("3.2", 6.0, "kept"),
+    ]
+
+
 def test_log_file(spark, log):
     path = new_folder(spark, "log")
     write_csv(log.drop("sample_order"), path)

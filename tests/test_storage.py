@@ -53,18 +53,54 @@ def test_arrays_are_joined(spark):
     assert rows(writers.arrays_as_text(df)) == [("1,10,2",)]
 
 
+def test_conversion_keeps_files_of_one_name_apart(spark, tmp_path):
+    one, two = folder(spark, "x", tmp_path), folder(spark, "y z+", tmp_path)
+    full = GOOD.replace("nan", "")
+    paths = [
+        lines(spark, one, "a.csv", HEADER, full, full),
+        lines(spark, two, "a.csv", HEADER, full, full, full),
+        lines(spark, one, "b c.csv", HEADER, full),
+    ]
+    out = new_folder(spark, "converted")
+    status = writers.convert_csv_folders(spark, [one, two], out).collect()
+    got = {r.source_file.removeprefix("file:"): (r.rows, r.status) for r in status}
+    assert got == dict(zip(paths, [(2, "converted"), (3, "converted"), (1, "converted")]))
+    assert spark.read.parquet(out).groupBy("source_file").count().count() == 3
+
+
+def test_facts_from_parquet_hold_no_nan(spark):
+    path = new_folder(spark, "nan")
+    spark.createDataFrame([(float("nan"), 1), (2.0, 2)], "dep_delay double, month int").write.parquet(path)
+    assert sorted(rows(readers.read_facts(spark, path)), key=repr) == [(2.0, 2), (None, 1)]
+
+
+def test_positional_text_lines(spark, tmp_path):
+    fields = ["2024-01-02", "2024", "1", "AA\t", "JFK", "LAX", "5", "4", "0", *[""] * 6]
+    path = lines(
+        spark, str(tmp_path), "p.txt", HEADER, ",".join(fields), ",".join(f if f != "JFK" else "\t" for f in fields), "\t", "a,b"
+    )
+    got = readers.read_positional(spark, path).collect()
+    assert [(r.op_unique_carrier, r.origin, r.dep_delay) for r in got] == [("AA", "JFK", 5.0)]
+
+
 def test_conversion_goes_on_after_odd_files(spark, tmp_path):
     one, two = folder(spark, "one", tmp_path), folder(spark, "two", tmp_path)
     full = GOOD.replace("nan", "")
     lines(spark, one, "a.csv", HEADER, full, full)
     lines(spark, one, "007.csv", HEADER, full, "2024-01-02,2024,one,AA")
     lines(spark, two, "empty.csv", HEADER)
+    (tmp_path / "two" / "nothing.csv").write_text("")
     lines(spark, two, "notes.txt", "not a table")
     out = new_folder(spark, "converted")
     status = writers.convert_csv_folders(spark, [one, two, f"{one}-absent"], out)
-    got = {r.source_file: (r.rows, r.bad_rows, r.status) for r in status.collect()}
-    assert got == {"a": (2, 0, "converted"), "007": (2, 1, "converted"), "empty": (0, 0, "no_rows")}
-    assert spark.read.parquet(f"{out}/source_file=a").count() == 2
+    got = {r.source_file.rpartition("/")[2]: (r.rows, r.bad_rows, r.status) for r in status.collect()}
+    assert got == {
+        "a.csv": (2, 0, "converted"),
+        "007.csv": (2, 1, "converted"),
+        "empty.csv": (0, 0, "header_only"),
+        "nothing.csv": (0, 0, "empty"),
+    }
+    assert spark.read.parquet(out).filter("source_file LIKE '%/a.csv'").count() == 2
 
 
 def test_input_stats(spark, tmp_path):
