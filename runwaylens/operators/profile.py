@@ -18,6 +18,8 @@ from runwaylens.schema import (
 
 QUARTILES = [0.25, 0.5, 0.75]
 SLICES_PER_DOUBLING = 64
+# Equal parts into which a slice with a wanted position is cut.
+PARTS = 4096
 SKETCH_ACCURACY = 10000
 
 
@@ -92,15 +94,17 @@ def _slice(value: Column) -> Column:
 def exact_quantiles(freq: DataFrame, probabilities: Sequence[float] = tuple(QUARTILES)) -> DataFrame:
     """(column, q): exact quantiles, linearly interpolated, from value frequencies.
 
-    Rows are counted per slice of the value range first. Only the slices in which a wanted
-    position falls are then walked in order, each as a sorted running count that can spill,
-    so no list of all distinct values is ever built.
+    Rows are counted per slice of the value range first. The slices in which a wanted
+    position falls are cut again, into PARTS equal parts of the range that their own values
+    span, and only the parts with a wanted position are walked in order, each as a sorted
+    running count that can spill. So no list of all distinct values is ever built, whatever
+    range the column has.
     """
     sliced = freq.withColumn("slice", _slice(F.col("value")))
     up_to = Window.partitionBy("column").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     placed = (
         sliced.groupBy("column", "slice")
-        .agg(F.sum("n").alias("rows"))
+        .agg(F.sum("n").alias("rows"), F.min("value").alias("lo"), F.max("value").alias("hi"))
         .withColumn("before", F.coalesce(F.sum("rows").over(up_to), F.lit(0)))
         .withColumn("last", F.sum("rows").over(Window.partitionBy("column")) - 1)
     )
@@ -112,14 +116,30 @@ def exact_quantiles(freq: DataFrame, probabilities: Sequence[float] = tuple(QUAR
             for end in (F.floor, F.ceil)
         ]
     )
-    needed = placed.select(
-        "column", "slice", "before", "last", _positions_within(positions, F.col("before"), F.col("rows")).alias("wanted")
-    ).where(F.size("wanted") > 0)
-
-    # Two slices per column and quantile at most, so the broadcast is bounded by the request.
-    inside = Window.partitionBy("column", "slice").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
-    walked = sliced.join(F.broadcast(needed), ["column", "slice"]).withColumn(
-        "start", F.col("before") + F.coalesce(F.sum("n").over(inside), F.lit(0))
+    needed = placed.withColumn("wanted", _positions_within(positions, F.col("before"), F.col("rows"))).where(
+        F.size("wanted") > 0
+    )
+
+    # Two slices, and then parts, per column and quantile at most: the broadcasts are bounded by the request.
+    span = F.col("hi") - F.col("lo")
+    part = F.coalesce(F.floor(F.try_divide(F.col("value") - F.col("lo"), span) * PARTS), F.lit(0)).alias("part")
+    inner = sliced.join(F.broadcast(needed), ["column", "slice"]).select(
+        "column", "slice", part, "value", "n", "before", "last", "wanted"
+    )
+    below = Window.partitionBy("column", "slice").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = (
+        inner.groupBy("column", "slice", "part")
+        .agg(F.sum("n").alias("rows"), *[F.first(c).alias(c) for c in ("before", "last", "wanted")])
+        .withColumn("before", F.col("before") + F.coalesce(F.sum("rows").over(below), F.lit(0)))
+        .withColumn("wanted", _positions_within(F.col("wanted"), F.col("before"), F.col("rows")))
+        .where(F.size("wanted") > 0)
+        .drop("rows")
+    )
+    inside = Window.partitionBy("column", "slice", "part").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    walked = (
+        inner.select("column", "slice", "part", "value", "n")
+        .join(F.broadcast(parts), ["column", "slice", "part"])
+        .withColumn("start", F.col("before") + F.coalesce(F.sum("n").over(inside), F.lit(0)))
     )
     hits = walked.withColumn("wanted", _positions_within(F.col("wanted"), F.col("start"), F.col("n")))
 

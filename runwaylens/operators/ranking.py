@@ -9,9 +9,6 @@ from pyspark.sql.window import Window
 from runwaylens.functions import flag_rate, mean_from, present
 from runwaylens.schema import FLIGHT_ROLES, Roles
 
-LOWEST = -(1 << 62)
-
-
 def member_totals(df: DataFrame, roles: Roles = FLIGHT_ROLES) -> DataFrame:
     """Counts and sums per (site, entity); rows without an entity stay, as a group of their own."""
     return (
@@ -86,21 +83,35 @@ def with_rank(df: DataFrame, ties: str = "rank") -> DataFrame:
     return df.withColumn("rank", place)
 
 
-def with_rank_split(df: DataFrame, width: float = 1.0) -> DataFrame:
+def with_rank_split(df: DataFrame, slices: int = 256) -> DataFrame:
     """``with_rank`` for groups too large for one task.
 
-    Members are ranked inside slices of the value range; the members of all lower slices
-    are added as an offset. Slices per group are few (value range / width).
+    Members with the same average, or with none, share a rank, so ranks are found for the
+    distinct averages of a group, with the number of members of each. These are ranked
+    inside slices of the range that the group's averages span; the members of all lower
+    slices are added as an offset. ``slices`` bounds the rows from which offsets are made.
     """
-    sliced = df.withColumn(
-        "slice", F.coalesce(F.floor(F.col("avg_dep_delay") / F.lit(width)), F.lit(LOWEST))
-    )
+    values = df.groupBy("origin", "avg_dep_delay").agg(F.count(F.lit(1)).alias("members"))
+    spans = values.groupBy("origin").agg(F.min("avg_dep_delay").alias("lo"), F.max("avg_dep_delay").alias("hi"))
+    share = F.try_divide(F.col("avg_dep_delay") - F.col("lo"), F.col("hi") - F.col("lo"))
+    place = F.when(F.col("avg_dep_delay").isNull(), -1).otherwise(F.coalesce(F.floor(share * slices), F.lit(0)))
+    sliced = values.join(spans, "origin").select("origin", "avg_dep_delay", "members", place.alias("slice"))
     lower = Window.partitionBy("origin").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         sliced.groupBy("origin", "slice")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.sum("members").alias("n"))
         .select("origin", "slice", F.coalesce(F.sum("n").over(lower), F.lit(0)).alias("offset"))
     )
-    inside = F.rank().over(Window.partitionBy("origin", "slice").orderBy("avg_dep_delay"))
-    ranked = sliced.withColumn("inside", inside).join(offsets, ["origin", "slice"])
-    return ranked.withColumn("rank", (F.col("offset") + F.col("inside")).cast("int")).select(*df.columns, "rank")
+    before = Window.partitionBy("origin", "slice").orderBy("avg_dep_delay").rowsBetween(Window.unboundedPreceding, -1)
+    inside = F.coalesce(F.sum("members").over(before), F.lit(0))
+    ranks = (
+        sliced.withColumn("inside", inside)
+        .join(offsets, ["origin", "slice"])
+        .select(
+            F.col("origin").alias("r_origin"),
+            F.col("avg_dep_delay").alias("r_avg"),
+            (F.col("offset") + F.col("inside") + 1).cast("int").alias("rank"),
+        )
+    )
+    same = (F.col("origin") == F.col("r_origin")) & F.col("avg_dep_delay").eqNullSafe(F.col("r_avg"))
+    return df.join(ranks, same).select(*df.columns, "rank")

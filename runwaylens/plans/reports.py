@@ -30,6 +30,7 @@ from runwaylens.operators.ranking import (
     with_site_mean_joined,
 )
 from runwaylens.schema import FLIGHT_ROLES, Roles
+from runwaylens.sources.scratch import stored
 
 RANKING_COLUMNS = [
     "origin",
@@ -125,17 +126,19 @@ def carrier_ranking(
 
     One aggregate per (airport, carrier); the airport mean and the rank share one shuffle of
     its rows. Set ``wide_groups`` where a single airport has so many members that its
-    aggregated rows should be spread over several tasks.
+    aggregated rows should be spread over several tasks; the totals are then written to the
+    shared folder first, so that means, offsets and ranks do not read the facts again.
     """
+    if wide_groups and ties != "rank":
+        raise ValueError("wide_groups supports ties='rank' only")
     totals = member_totals(df, roles)
+    totals = stored(totals, "member-totals") if wide_groups else totals
     placed = with_site_mean_joined(totals) if wide_groups else with_site_mean(totals)
     figures = with_difference(
         placed.where("carrier IS NOT NULL").withColumn(
             "avg_dep_delay", F.round(mean_from("dep_sum", "dep_n"), 4)
         )
     )
-    if wide_groups and ties != "rank":
-        raise ValueError("wide_groups supports ties='rank' only")
     ranked = with_rank_split(figures) if wide_groups else with_rank(figures, ties)
     return ranked.select(*RANKING_COLUMNS).orderBy("origin", "rank", "carrier")
 

@@ -183,10 +183,13 @@ def read_csv_folders(spark: SparkSession, folders: Sequence[str], schema: T.Stru
 
 
 def conversion_status(spark: SparkSession, folders: Sequence[str], converted: DataFrame) -> DataFrame:
-    """Rows and bad lines per source file, by full path; a file without rows is empty or has only a header."""
+    """Rows and bad lines per source file, by full path; a file without rows has only a header.
+
+    Files without a single byte are no input for Spark's readers and are not listed.
+    """
     found = [f for f in folders if path_exists(spark, f)]
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(found)
-    names = files.select(source_path().alias("source_file"), "length")
+    names = files.select(source_path().alias("source_file"))
     counts = converted.groupBy("source_file").agg(
         F.count(F.lit(1)).alias("rows"), F.count(CORRUPT).alias("bad_rows")
     )
@@ -194,9 +197,6 @@ def conversion_status(spark: SparkSession, folders: Sequence[str], converted: Da
         "source_file",
         F.coalesce("rows", F.lit(0)).alias("rows"),
         F.coalesce("bad_rows", F.lit(0)).alias("bad_rows"),
-        F.when(F.col("rows").isNotNull(), "converted")
-        .when(F.col("length") == 0, "empty")
-        .otherwise("header_only")
-        .alias("status"),
+        F.when(F.col("rows").isNotNull(), "converted").otherwise("header_only").alias("status"),
     )
 

@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from __spark_entry__ import queries
+from runwaylens.plans.catalogue import QUERIES
 from runwaylens.plans import reports
 from runwaylens.sources.readers import read_facts
 from runwaylens.sources.scratch import new_folder
@@ -28,9 +28,9 @@ def stored_facts(spark):
     return read_facts(spark, path)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_and_no_cross_join(spark, name):
-    text = plan(queries()[name](spark, DATA))
+    text = plan(QUERIES[name](spark, DATA))
     for bad in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert bad not in text
 
@@ -43,6 +43,12 @@ def test_reports_scan_once_and_join_nothing(stored_facts, report):
     assert "partial_count" in plan(df)
 
 
+def test_wide_groups_read_the_facts_once(stored_facts):
+    facts_path = re.search(r"plan-facts-\w+", plan(stored_facts)).group(0)
+    text = plan(reports.carrier_ranking(stored_facts, wide_groups=True))
+    assert facts_path not in text and "member-totals" in text
+
+
 def test_joined_forms_scan_more(stored_facts):
     assert scans(reports.delay_report_joined(stored_facts)) == 2
     assert scans(reports.carrier_ranking_joined(stored_facts)) == 2

@@ -103,3 +103,25 @@ def test_two_grains(spark):
     df = facts(spark, flight("AA", dep=1), flight("BB", dep=4), flight("BB", dep=None))
     got = {(r.grain, r.carrier): (r.num_flights, r.avg_dep_delay) for r in grouping.two_grain_stats(df).collect()}
     assert got == {("carrier", "AA"): (1, 1.0), ("carrier", "BB"): (2, 4.0), ("airport", None): (3, 2.5)}
+
+
+@pytest.mark.parametrize(
+    "value",
+    ["1700000000 + id * 5", "id / 40000000.0", "IF(id % 3 = 0, 7.0, id)", "IF(id % 2 = 0, -id, id * 1000000)"],
+    ids=["epoch seconds", "share near zero", "one hot value", "two scales"],
+)
+def test_quartiles_of_awkward_columns(spark, value):
+    df = spark.range(20_000).selectExpr(f"CAST({value} AS DOUBLE) AS v").repartition(4)
+    got = profile.describe(df, ["v"]).first()
+    want = df.agg(F.percentile("v", [0.25, 0.5, 0.75])).first()[0]
+    assert [got.p25, got.p50, got.p75] == pytest.approx([round(w, 2) for w in want], abs=0.011)
+
+
+@pytest.mark.parametrize("value", ["1700000000 + id * 5", "id / 40000000.0"])
+def test_no_part_of_a_slice_holds_many_distinct_values(spark, value):
+    freq = profile.value_frequencies(spark.range(200_000).selectExpr(f"CAST({value} AS DOUBLE) AS v"), ["v"])
+    sliced = freq.withColumn("slice", profile._slice(F.col("value")))
+    spans = sliced.groupBy("slice").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
+    part = F.floor((F.col("value") - F.col("lo")) / (F.col("hi") - F.col("lo")) * profile.PARTS)
+    largest = sliced.join(spans, "slice").groupBy("slice", part).count().agg(F.max("count")).first()[0]
+    assert largest <= 0.01 * 200_000
