@@ -84,13 +84,16 @@ def pivot(p: np.ndarray, size: np.ndarray, keep: int, rng: np.random.Generator)
 
 
 def settle(p: np.ndarray, size: np.ndarray, rng: np.random.Generator) -> np.ndarray:
-    """Round the last documents of a source, largest first; each makes up for the words that went astray so far."""
+    """Round the last documents of a source, largest first; each makes up for the words that went astray so far.
+
+    One random threshold holds for all of them, as in systematic sampling, so what is astray in the end is a part of
+    the smallest documents.
+    """
     p = p.copy()
-    astray = 0.0
-    draws = rng.random(len(p))
+    astray, threshold = 0.0, 0.25 + rng.random() / 2
     for i in np.lexsort((np.arange(len(p)), -size)):
         share = min(1.0, max(0.0, p[i] - astray / size[i]))
-        taken = float(draws[i] < share)
+        taken = float(share >= threshold)
         astray += (taken - p[i]) * size[i]
         p[i] = taken
     return p
@@ -182,7 +185,8 @@ def per_row(plan: DataFrame) -> DataFrame:
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: float = MOST, seed: int = 17) -> DataFrame:
     """``docs`` with every row as often as the plan takes it; columns stay as they are."""
-    plan = mix_plan(docs, weights, most, seed).select("__k1", "__k2", "copies").filter("copies > 0")
+    plan = mix_plan(docs, weights, most, seed).filter("copies > 0")
+    plan = plan.select("__k1", "__k2", F.sequence(F.lit(1), F.col("copies").cast("int")).alias("__each"))
     keyed = docs.select("*", *row_key(docs)).dropDuplicates(["__k1", "__k2"])
-    repeated = keyed.join(plan, ["__k1", "__k2"]).withColumn("__i", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    repeated = keyed.join(plan, ["__k1", "__k2"]).withColumn("__i", F.explode("__each"))
     return repeated.select(*docs.columns)
