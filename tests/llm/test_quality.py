@@ -94,7 +94,7 @@ def test_statistics_and_distances_against_brute_force(spark):
 
 def test_a_planted_outlier_goes_and_clean_texts_stay(spark):
     words = "the small river runs past old mills and quiet fields where people walk in spring".split()
-    clean = [(i, " ".join(words[(i * 7 + j * (1 + i % 5)) % len(words)] + str(j % 7) for j in range(80))) for i in range(120)]
+    clean = [(i, " ".join(words[(i * 7 + j * (1, 2, 4)[i % 3]) % len(words)] + str(j % 7) for j in range(80))) for i in range(120)]
     junk = [(999, " ".join(f"<|{j}|>" for j in range(400)))]
     got = {r.doc_id: r for r in quality.judge(docs(spark, clean + junk)).collect()}
     assert not got[999].kept and not got[999].base_failed
