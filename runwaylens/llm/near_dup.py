@@ -42,7 +42,7 @@ class _WordHash(dict):
     """64-bit hash of each word, kept for words met before; emptied when it has grown large."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 100_000:
             self.clear()
         value = self[word] = xxhash.xxh64_intdigest(word)
         return value

@@ -53,7 +53,7 @@ class UnigramCounter:
     ``byte_fallback``. White space other than the blank is no separator: it is counted as the vocabulary has it.
     """
 
-    def __init__(self, pieces: list[tuple[str, float]], byte_fallback: bool = True, most: int = 400_000) -> None:
+    def __init__(self, pieces: list[tuple[str, float]], byte_fallback: bool = True, most: int = 250_000) -> None:
         self.machine = ahocorasick.Automaton()
         self.single = {p for p, _ in pieces if len(p) == 1}
         for p, s in pieces:

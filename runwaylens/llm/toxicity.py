@@ -132,7 +132,7 @@ class Model:
 class Judge:
     """Worst two words of texts, with the values of words met before kept in bounded memory."""
 
-    def __init__(self, model: Model, most: int = 600_000) -> None:
+    def __init__(self, model: Model, most: int = 250_000) -> None:
         self.model, self.most, self.known = model, most, {}
 
     def worst(self, texts: Sequence[str | None]) -> np.ndarray:
