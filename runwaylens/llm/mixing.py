@@ -3,8 +3,8 @@
 Every document of a source should be taken the same, mostly broken, number of times. The whole part is taken; of the
 rest, pairs of documents exchange words at random until one of them is taken or left, so each keeps its expected
 share and the words of the source stay the same. Pairs are made inside small groups of documents; what stays broken
-in a group goes up a reduction tree, 32 groups into one, until a handful per source is left. These are rounded from
-the largest to the smallest, each making up for the error of those before it.
+in a group goes up a reduction tree, 32 groups into one, each leaving a handful per source and size. The last are settled
+from the largest to the smallest, the others taking up its words, until one is broken: that one is drawn.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from runwaylens.sources.scratch import Workspace
 
 MOST = 3.0
 WEIGHTS = (1, 2, 3)
-# Documents of a leaf of the reduction tree, groups that join into one, and documents of a size class left to the end.
+# Documents of a leaf of the reduction tree, groups that join into one, and documents of a size class that a group leaves.
 LEAF = 2000
 FAN = 32
 REST = 24
@@ -84,18 +84,27 @@ def pivot(p: np.ndarray, size: np.ndarray, keep: int, rng: np.random.Generator)
 
 
 def settle(p: np.ndarray, size: np.ndarray, rng: np.random.Generator) -> np.ndarray:
-    """Round the last documents of a source, largest first; each makes up for the words that went astray so far.
+    """Round the last documents of a source, largest first; each is taken with the probability of its share.
 
-    One random threshold holds for all of them, as in systematic sampling, so what is astray in the end is a part of
-    the smallest documents.
+    The largest becomes whole at once where the others together can give or take its words, each by the room that it
+    has; else it is paired with the next. The words stay the same until the last document, which is drawn.
     """
     p = p.copy()
-    astray, threshold = 0.0, 0.25 + rng.random() / 2
-    for i in np.lexsort((np.arange(len(p)), -size)):
-        share = min(1.0, max(0.0, p[i] - astray / size[i]))
-        taken = float(share >= threshold)
-        astray += (taken - p[i]) * size[i]
-        p[i] = taken
+    order = np.lexsort((np.arange(len(p)), -size))
+    while len(order := order[(p[order] > 0) & (p[order] < 1)]) > 1:
+        i, others = order[0], order[1:]
+        have, room = p[others] * size[others], (1 - p[others]) * size[others]
+        gain, loss = (1 - p[i]) * size[i], p[i] * size[i]
+        part = np.minimum(have / gain, room / loss)
+        if part.sum() < 1:
+            p[order[:2]] = pivot(p[order[:2]], size[order[:2]], 1, rng)
+            continue
+        taken = rng.random() < p[i]
+        p[others] += (-gain if taken else loss) * part / part.sum() / size[others]
+        p[i] = float(taken)
+        near = np.minimum(p[others], 1 - p[others]) < _EPS
+        p[others[near]] = p[others[near]].round()
+    p[order] = rng.random(len(order)) < p[order]
     return p
 
 
@@ -107,7 +116,7 @@ def _reduce(part: pd.DataFrame, seed: int, last: bool) -> pd.DataFrame:
         for octave in np.unique(octaves):
             own = rows[octaves == octave]
             rng = np.random.default_rng(_seed(seed, source, octave, int(part["__k1"].iloc[own[0]])))
-            p[own] = pivot(p[own], size[own], REST if last else 1, rng)
+            p[own] = pivot(p[own], size[own], REST, rng)
         if last:
             broken = rows[(p[rows] > 0) & (p[rows] < 1)]
             p[broken] = settle(p[broken], size[broken], np.random.default_rng(_seed(seed, source, "settle")))

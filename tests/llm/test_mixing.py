@@ -70,6 +70,16 @@ def test_every_document_keeps_its_expected_share(spark):
     assert abs((one * size).sum() - (p * size).sum()) < 1e-6 and ((one > 0) & (one < 1)).sum() <= 1
 
 
+def test_the_whole_rounding_is_unbiased_for_the_longest_documents():
+    size = np.array([20000.0, 9000, 8500, 8000, 6000, 5000, 4000, 3000, 900, 800, 700, 600, 90, 80, 70, 60] + [9.0] * 20)
+    for share in (0.05, 0.1, 0.9):
+        p = np.full(len(size), share)
+        outcome = np.array([settle(p, size, g) for g in map(np.random.default_rng, range(1500))])
+        assert set(outcome.ravel()) <= {0.0, 1.0}
+        assert np.abs(outcome.mean(0) - share).max() < 0.03
+        assert np.abs((outcome - p) @ size).max() <= size.max()
+
+
 def test_many_leaves_form_a_tree(spark, monkeypatch):
     from runwaylens.llm import mixing
 
