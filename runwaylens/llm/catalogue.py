@@ -14,6 +14,7 @@ from runwaylens.llm import (  # noqa: F401
     q08_licenses,
     q09_language,
     q10_sharding,
+    q11_bpe,
 )
 from runwaylens.llm.registry import QUERIES, SQL  # noqa: F401
 
