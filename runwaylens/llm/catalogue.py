@@ -15,6 +15,8 @@ from runwaylens.llm import (  # noqa: F401
     q09_language,
     q10_sharding,
     q11_bpe,
+    q12_merkle,
+    q13_shallot,
 )
 from runwaylens.llm.registry import QUERIES, SQL  # noqa: F401
 
