@@ -84,8 +84,7 @@ def manifest(rows: DataFrame, key: str = "doc_id", run: str = "lang", leaf: str
         )
         top_blocks = reduced(top, runs, work, "top")
         root = top_blocks[-1].first()["node"]
-        whole = subroots.limit(1).select(F.lit("").alias("g"), F.lit(0).cast("long").alias("block"), F.array().cast(PROOF_TYPE).alias("above"))
-        tops = downwards(top_blocks, whole, work, "top").select(F.col("entry.row").alias("g"), F.col("entry.digest").alias("subroot"), F.col("path").alias("above"))
+        tops = downwards(top_blocks, None, work, "top").select(F.col("entry.row").alias("g"), F.col("entry.digest").alias("subroot"), F.col("path").alias("above"))
         tops = work.save(tops.withColumn("block", F.lit(0).cast("long")), "tops")
         out = downwards(blocks, tops, work, "runs", "subroot")
         # What the result reads stays; the rest goes now.
@@ -195,7 +194,7 @@ def _next_level(levels: Column, _: Column) -> Column:
     return F.concat(levels, F.array(F.transform(F.sequence(F.lit(0), half), pair)))
 
 
-def downwards(steps: list[DataFrame], above: DataFrame, work: Workspace, name: str, *kept: str) -> DataFrame:
+def downwards(steps: list[DataFrame], above: DataFrame | None, work: Workspace, name: str, *kept: str) -> DataFrame:
     """Entries of the lowest blocks with ``pos`` and their ``path`` of siblings up to the end of ``above``."""
 
     def own(slot: Column) -> Column:
@@ -209,7 +208,8 @@ def downwards(steps: list[DataFrame], above: DataFrame, work: Workspace, name: s
         return F.when(F.size("levels") > 1, some).otherwise(F.array().cast(PROOF_TYPE))
 
     for i in reversed(range(len(steps))):
-        met = steps[i].join(above, ["g", "block"])
+        # The end of a whole tree has nothing above it.
+        met = steps[i].join(above, ["g", "block"]) if above is not None else steps[i].withColumn("above", F.array().cast(PROOF_TYPE))
         base = F.col("block") * (1 << BLOCK_BITS)
         slots = F.transform(
             "entries", lambda e, s: F.struct(e.alias("entry"), (base + s).alias("pos"), F.concat(own(s), F.col("above")).alias("path"))
