@@ -12,14 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from runwaylens.operators import profile, runlog
-from runwaylens.operators.cleaning import clean_facts, cleaning_report
+from runwaylens.operators.cleaning import write_cleaned
 from runwaylens.operators.sampling import write_sample_suite
 from runwaylens.plans import reports
 from runwaylens.schema import DATE_FORMATS, FACT_SCHEMA, RUN_LOG_SCHEMA, SAMPLE_FRACTIONS
+from runwaylens.sources.conversion import convert_csv_folders
 from runwaylens.sources.readers import read_fact_csv, read_facts, read_raw_csv, read_run_log
 from runwaylens.sources.writers import (
     REPORT_COLUMNS,
-    convert_csv_folders,
     numeric_key,
     preview,
     sample_results,
@@ -49,11 +49,12 @@ def load(spark: SparkSession, path: str) -> DataFrame:
 
 
 def clean(spark: SparkSession, a: argparse.Namespace) -> None:
-    raw = read_raw_csv(spark, a.input)
-    cleaned = clean_facts(raw, a.date_formats)
-    write_csv(cleaned, a.output) if a.output.endswith(".csv") else write_parquet(as_facts(cleaned), a.output)
+    def write(cleaned: DataFrame) -> None:
+        write_csv(cleaned, a.output) if a.output.endswith(".csv") else write_parquet(as_facts(cleaned), a.output)
+
+    report = write_cleaned(read_raw_csv(spark, a.input), write, a.date_formats)
     if a.report:
-        write_delimited(cleaning_report(raw), a.report, single_file=True)
+        write_delimited(report, a.report, single_file=True)
 
 
 def as_facts(df: DataFrame) -> DataFrame:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from runwaylens.functions import in_range_or_null, out_of_range, present, strip_text, strip_upper, to_date_text, to_flag, to_number
@@ -104,18 +104,23 @@ def _outcome(columns: Sequence[str]) -> Column:
     return rule
 
 
-def cleaning_report(raw: DataFrame) -> DataFrame:
-    """(metric, value) rows: rows before and after, rows removed per rule, NULLs per column left.
+def _groups(raw: DataFrame, date_formats: Sequence[str]) -> DataFrame:
+    """Distinct cleaned rows with their number of copies, and one row per rule (``outcome``) for all that it removed.
 
-    One scan and one shuffle. Removed rows carry only the name of their rule, so they
-    melt into one group per rule and task.
+    One scan and one shuffle. Removed rows carry only the name of their rule, so they melt into one group per rule and
+    task.
     """
-    rows = evaluated_once(typed_facts(raw))
+    rows = evaluated_once(typed_facts(raw, date_formats))
     columns = rows.columns
     tagged = rows.withColumn("outcome", _outcome(columns))
     stays = F.col("outcome").isNull()
     norm = normalise_codes(tagged).select("outcome", *[F.when(stays, F.col(c)).alias(c) for c in columns])
-    groups = norm.groupBy("outcome", *columns).agg(F.count(F.lit(1)).alias("copies"))
+    return norm.groupBy("outcome", *columns).agg(F.count(F.lit(1)).alias("copies"))
+
+
+def _metrics(columns: Sequence[str]) -> list[tuple[str, Column]]:
+    """Aggregates over ``_groups``: rows before and after, rows removed per rule, NULLs per column left."""
+    stays = F.col("outcome").isNull()
     rules = ["missing_key"] + [f"{c}_out_of_range" for c in RANGE_COLUMNS if c in columns]
     kept_rows = F.count_if(stays)
 
@@ -127,5 +132,30 @@ def cleaning_report(raw: DataFrame) -> DataFrame:
     metrics += [("removed_duplicates", total(stays) - kept_rows), ("rows_out", kept_rows)]
     metrics += [("columns_out", F.lit(len(columns)).cast("long"))]
     metrics += [(f"nulls_{c}", F.count_if(stays & F.col(c).isNull())) for c in columns]
-    wide = groups.agg(*[m.cast("long").alias(name) for name, m in metrics])
-    return wide.unpivot([], [name for name, _ in metrics], "metric", "value")
+    return [(name, m.cast("long")) for name, m in metrics]
+
+
+def cleaning_report(raw: DataFrame, date_formats: Sequence[str] = tuple(DATE_FORMATS)) -> DataFrame:
+    """(metric, value) rows: what ``clean_facts`` with the same date forms keeps and removes, without writing it."""
+    groups = _groups(raw, date_formats)
+    metrics = _metrics(groups.columns[1:-1])
+    return groups.agg(*[m.alias(name) for name, m in metrics]).unpivot([], [name for name, _ in metrics], "metric", "value")
+
+
+def write_cleaned(
+    raw: DataFrame, write: Callable[[DataFrame], None], date_formats: Sequence[str] = tuple(DATE_FORMATS)
+) -> DataFrame:
+    """Write the rows of ``clean_facts`` with ``write`` and return the report on them, in one pass over ``raw``.
+
+    The figures are observed where the cleaned rows are written, behind the only shuffle: tasks of the last stage
+    count once, however often a lost executor makes earlier ones run again. ``write`` must run exactly one job over
+    the rows that it is given.
+    """
+    groups = _groups(raw, date_formats)
+    columns = groups.columns[1:-1]
+    metrics = _metrics(columns)
+    seen = Observation("cleaned")
+    watched = groups.observe(seen, *[m.alias(name) for name, m in metrics])
+    write(watched.where(F.col("outcome").isNull()).select(*columns))
+    figures = [(name, int(seen.get.get(name) or 0)) for name, _ in metrics]
+    return raw.sparkSession.createDataFrame(figures, "metric string, value long")

@@ -12,6 +12,7 @@ from runwaylens.schema import FACT_COLUMNS, NUMBER_COLUMNS, SAMPLE_FRACTIONS
 from runwaylens.sources.readers import parse_positional
 from runwaylens.sources.scratch import new_folder
 from runwaylens.sources.testviews import flights, raw_flights, table
+from runwaylens.sources.writers import write_parquet
 
 
 @query("clean_flights", over("cleaned", "SELECT * FROM cleaned"))
@@ -43,6 +44,30 @@ def _(spark, sf):
     return cleaning.cleaning_report(raw_flights(spark, sf))
 
 
+CLEAN_REPORT = " UNION ALL ".join(f"SELECT '{m}' AS metric, ({sql}) AS value" for m, sql in METRICS.items())
+
+
+@query("clean_write_report", over("cleaned", CLEAN_REPORT, kept=KEPT))
+def _(spark, sf):
+    path = new_folder(spark, "cleaned")
+    return cleaning.write_cleaned(raw_flights(spark, sf), lambda rows: write_parquet(rows, path))
+
+
+@query("clean_write_rows", over("cleaned", "SELECT * FROM cleaned"))
+def _(spark, sf):
+    path = new_folder(spark, "cleaned")
+    cleaning.write_cleaned(raw_flights(spark, sf), lambda rows: write_parquet(rows, path))
+    return spark.read.parquet(path)
+
+
+@query("clean_write_own_dates", over("cleaned", CLEAN_REPORT, kept=KEPT))
+def _(spark, sf):
+    """The same figures where the dates are written in a form that only the caller knows."""
+    path = new_folder(spark, "cleaned")
+    raw = raw_flights(spark, sf).withColumn("fl_date", F.translate("fl_date", "-", "|"))
+    return cleaning.write_cleaned(raw, lambda rows: write_parquet(rows, path), ["yyyy|MM|dd"])
+
+
 @query("typed_rows", over("typed", "SELECT * FROM typed"))
 def _(spark, sf):
     return cleaning.typed_facts(raw_flights(spark, sf))

@@ -9,12 +9,12 @@ from pyspark.sql import functions as F
 from runwaylens.operators.cleaning import clean_facts
 from runwaylens.plans import reports
 from runwaylens.plans.catalogue_reports import ACTIVE_LIST, AIRLINE, BY_RANK, MONTHLY, RANKING_STEPS
-from runwaylens.plans.oracle import CLEANED, TYPED, over
+from runwaylens.plans.oracle import CLEANED, TYPED, missing, over, stripped
 from runwaylens.plans.registry import query
 from runwaylens.schema import FACT_COLUMNS, NUMBER_COLUMNS
-from runwaylens.sources import readers, writers
+from runwaylens.sources import conversion, inference, readers, writers
 from runwaylens.sources.scratch import new_folder
-from runwaylens.sources.testviews import flights
+from runwaylens.sources.testviews import flights, raw_flights
 
 
 @query("csv_round_trip", over("flights", "SELECT * FROM flights"))
@@ -145,7 +145,7 @@ def _(spark, sf):
 def _(spark, sf):
     folder, out = new_folder(spark, "csv-files"), new_folder(spark, "converted")
     writers.write_csv(flights(spark, sf), folder)
-    writers.convert_csv_folders(spark, [folder, f"{folder}-missing"], out)
+    conversion.convert_csv_folders(spark, [folder, f"{folder}-missing"], out)
     return (
         spark.read.parquet(out)
         .groupBy("month")
@@ -160,7 +160,7 @@ def _(spark, sf):
 def _(spark, sf):
     folder, out = new_folder(spark, "csv-files"), new_folder(spark, "converted")
     writers.write_csv(flights(spark, sf), folder)
-    status = writers.convert_csv_folders(spark, [folder], out)
+    status = conversion.convert_csv_folders(spark, [folder], out)
     return status.agg(F.sum("rows").alias("rows"), F.sum("bad_rows").alias("bad_rows"))
 
 
@@ -185,3 +185,97 @@ def _(spark, sf):
     path = new_folder(spark, "stats") + ".csv"
     writers.write_csv(flights(spark, sf), path)
     return readers.input_stats(spark, path).select("input_rows")
+
+
+@query(
+    "dir_convert_manifest",
+    over(
+        "flights",
+        "SELECT 'converted' AS status, count(*) AS rows, true AS has_bytes, true AS own_ids FROM flights "
+        "UNION ALL SELECT 'empty', 0, false, true UNION ALL SELECT 'header_only', 0, true, true",
+    ),
+)
+def _(spark, sf):
+    """Files below a path of some 400 signs, one without a byte and one with a header alone."""
+    folder, out = f"{new_folder(spark, 'csv-files')}/{'long' * 50}/{'path' * 45}", new_folder(spark, "converted")
+    writers.write_csv(flights(spark, sf), folder)
+    files = spark._jvm.org.apache.hadoop.fs.Path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    for name, content in [("empty.csv", b""), ("header.csv", ",".join(FACT_COLUMNS).encode())]:
+        stream = files.create(spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}"))
+        stream.write(bytearray(content))
+        stream.close()
+    status = conversion.convert_csv_folders(spark, [folder], out)
+    by_status = status.groupBy("status").agg(
+        F.sum("rows").alias("rows"),
+        F.bool_and(F.col("length") > 0).alias("has_bytes"),
+        (F.count_distinct("file_id") == F.count(F.lit(1))).alias("own_ids"),
+    )
+    return by_status
+
+
+WORDY = "SELECT CASE WHEN origin LIKE 'C%' THEN 'carrier' ELSE origin END AS origin, carrier, CAST(rank AS STRING) AS rank"
+
+
+@query("result_rows_header_words", over("flights", f"{WORDY} FROM ({BY_RANK})", **RANKING_STEPS))
+def _(spark, sf):
+    """A written report whose first column holds a header word in data rows."""
+    path = new_folder(spark, "ranking")
+    report = reports.carrier_ranking(flights(spark, sf))
+    origin = F.when(F.col("origin").like("C%"), "carrier").otherwise(F.col("origin"))
+    # The first row of each file is another one: directly below the header a header word is a header.
+    first = F.when(origin == "carrier", 1).otherwise(0)
+    rows = report.select(origin.alias("origin"), "carrier", "rank").coalesce(1).sortWithinPartitions(first)
+    writers.write_delimited(rows, path)
+    return writers.result_rows(spark, path, ["origin", "carrier", "rank"])
+
+
+def _kind_sql(c: str) -> str:
+    """Kind of a cell of the raw table, as the inference has it."""
+    cell = stripped(missing(stripped(c)))
+    return f"""CASE WHEN {cell} IS NULL THEN NULL WHEN lower({cell}) IN ('true', 'false') THEN 'flag'
+      WHEN regexp_full_match({cell}, '[+-]?\\d+') AND TRY_CAST({cell} AS BIGINT) IS NOT NULL THEN 'int'
+      WHEN regexp_full_match({cell}, '[+-]?(\\d+\\.?\\d*|\\.\\d+)([eE][+-]?\\d+)?') THEN 'double'
+      WHEN regexp_full_match({cell}, '\\d{{4}}-\\d{{1,2}}-\\d{{1,2}}') AND TRY_CAST({cell} AS DATE) IS NOT NULL THEN 'date'
+      ELSE 'text' END"""
+
+
+KIND_ROWS = " UNION ALL ".join(f"SELECT {i} AS position, '{c}' AS \"column\", {c} AS cell, {_kind_sql(c)} AS kind FROM raw" for i, c in enumerate(FACT_COLUMNS))
+# The share of cells that may not fit: dates of the raw table are bad in 1 of 37 rows.
+SHARE = 0.05
+INFERRED = f"""
+  SELECT position, "column", type, total AS cells, missing, bad AS bad_cells,
+    CASE type WHEN 'flag' THEN coalesce(l_text, l_date, l_double, l_int) WHEN 'int' THEN coalesce(l_text, l_date, l_double, l_flag)
+      WHEN 'double' THEN coalesce(l_text, l_date, l_flag) WHEN 'date' THEN coalesce(l_text, l_double, l_int, l_flag) END AS bad_example
+  FROM (
+    SELECT *, CASE type WHEN 'flag' THEN total - n_flag WHEN 'int' THEN total - n_int WHEN 'double' THEN total - n_int - n_double
+      WHEN 'date' THEN total - n_date ELSE 0 END AS bad
+    FROM (
+      SELECT *, CASE WHEN total = 0 THEN 'text' WHEN total - n_flag <= total * {SHARE} THEN 'flag'
+        WHEN total - n_int <= total * {SHARE} THEN 'int' WHEN total - n_int - n_double <= total * {SHARE} THEN 'double'
+        WHEN total - n_date <= total * {SHARE} THEN 'date' ELSE 'text' END AS type
+      FROM (
+        SELECT position, "column", count(kind) AS total, count(*) - count(kind) AS missing,
+          {", ".join(f"count(*) FILTER (kind = '{k}') AS n_{k}, min(cell) FILTER (kind = '{k}') AS l_{k}" for k in inference.KINDS)}
+        FROM cells GROUP BY position, "column")))
+"""
+
+
+@query("csv_inferred_types", over("raw", INFERRED, cells=KIND_ROWS))
+def _(spark, sf):
+    return inference.with_inferred_types(raw_flights(spark, sf), SHARE).report
+
+
+INFERRED_ROWS = f"""
+  SELECT {", ".join(
+    f"TRY_CAST(CASE WHEN ({_kind_sql(c)}) = 'int' THEN {stripped(c)} END AS BIGINT) AS {c}" if c in [*NUMBER_COLUMNS, "year", "month", "cancelled"]
+    else f"TRY_CAST(CASE WHEN ({_kind_sql(c)}) = 'date' THEN {stripped(c)} END AS DATE) AS {c}" if c == "fl_date"
+    else f"{missing(c)} AS {c}" for c in FACT_COLUMNS)}
+  FROM raw
+"""
+
+
+@query("csv_inferred_rows", over("raw", INFERRED_ROWS))
+def _(spark, sf):
+    path = new_folder(spark, "raw-parquet")
+    writers.write_parquet(raw_flights(spark, sf), path)
+    return inference.with_inferred_types(spark.read.parquet(path), SHARE).rows

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from runwaylens.functions import as_column
-from runwaylens.sources.readers import conversion_status, path_exists, read_csv_folders
+from runwaylens.sources.readers import path_exists
 
 # Result columns of the three reports, and first cells that mark a header line.
 REPORT_COLUMNS = {
@@ -82,17 +82,30 @@ def preview(df: DataFrame, keys: Sequence[str | Column], n: int = SAMPLE_ROWS) -
 
 
 def result_rows(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
-    """Rows of a written result as text columns, whatever headers or tab separators it has."""
+    """Rows of a written result as text columns, whatever headers or tab separators it has.
+
+    Header lines are those with a header word in the first cell that stand before every other line of their file; the
+    same word in the first cell of a later line is data.
+    """
     line = F.translate(F.regexp_replace("value", r"^\s+|\s+$", ""), "\t", "|")
-    cells = F.split("line", r"\|")
-    return (
+    first_cell = F.trim(F.element_at(F.split("line", r"\|"), 1))
+    lines = (
         spark.read.text(path)
-        .select(line.alias("line"))
+        .select(
+            line.alias("line"),
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("block"),
+            # Lines of a block are numbered in their order.
+            F.monotonically_increasing_id().alias("number"),
+        )
         .where(F.length("line") > 0)
-        .select(cells.alias("cells"))
-        .where(~F.trim(F.col("cells")[0]).isin(*HEADER_CELLS))
-        .select(*[F.get("cells", i).alias(c) for i, c in enumerate(columns)])
+        .withColumn("is_header", first_cell.isin(*HEADER_CELLS))
     )
+    # One row for each file: its first line that is no header. Files of headers only have none.
+    start = lines.where(~F.col("is_header")).groupBy("file").agg(F.min(F.struct("block", "number")).alias("start"))
+    kept = lines.join(start, "file").where(~F.col("is_header") | (F.struct("block", "number") > F.col("start")))
+    cells = F.split("line", r"\|")
+    return kept.select(cells.alias("cells")).select(*[F.get("cells", i).alias(c) for i, c in enumerate(columns)])
 
 
 def sample_results(
@@ -114,14 +127,3 @@ def sample_results(
 def numeric_key(c: str | Column) -> Column:
     """Sort key for numbers that were read back as text."""
     return as_column(c).try_cast("double")
-
-
-def convert_csv_folders(spark: SparkSession, folders: Sequence[str], out: str) -> DataFrame:
-    """Convert all CSV files to one Parquet folder split by source file; return the status per file.
-
-    One job reads every file and each task writes what it read, so a very large source
-    is spread over as many tasks as it has input splits.
-    """
-    rows = read_csv_folders(spark, folders)
-    write_parquet(rows, out, partition_by=["source_file"])
-    return conversion_status(spark, folders, spark.read.schema(rows.schema).parquet(out))

@@ -1,8 +1,11 @@
 from helpers import raw, rows
 
 from runwaylens.functions import strip_upper, to_date_text, to_number
+from runwaylens.operators import cleaning
 from runwaylens.operators.cleaning import clean_facts, cleaning_report, drop_blank_keys, select_present
-from runwaylens.sources.readers import normalise_missing, parse_positional
+from runwaylens.schema import FACT_COLUMNS
+from runwaylens.sources.readers import normalise_missing, parse_positional, read_raw_csv
+from runwaylens.sources.scratch import new_folder
 
 BASE = {"fl_date": "2024-01-02", "year": "2024", "month": "1", "op_unique_carrier": "AA", "origin": "JFK"}
 
@@ -102,3 +105,36 @@ def test_keys_of_white_space_only(spark):
 def test_rows_in_another_date_form_survive_cleaning(spark):
     text = raw(spark, *[{"fl_date": d, "op_unique_carrier": "AA", "origin": "JFK", "month": "1"} for d in ("1/5/2024", "2024-1-6")])
     assert sorted(r.fl_date for r in clean_facts(text).collect()) == ["2024-01-05", "2024-01-06"]
+
+
+def test_report_and_rows_come_from_one_scan(spark, tmp_path):
+    """The raw file is gone once the cleaned rows are written, and the report is still whole."""
+    path = tmp_path / "raw.csv"
+    row = "{},2024,1,{},JFK,LAX,{},,0,,,,,,"
+    lines = [row.format("2024|01|02", " aa", "5.0")] * 3 + [row.format("2024|01|03", "BB", "2000"), row.format("2024|01|03", "", "1")]
+    lines += [row.format("2024-01-09", "cc", "x"), row.format("9|9", "DD", "1")]
+    path.write_text("\n".join([",".join(FACT_COLUMNS), *lines]) + "\n")
+    table, out = read_raw_csv(spark, str(path)), new_folder(spark, "cleaned")
+    want = {r.metric: r.value for r in cleaning.cleaning_report(table, ["yyyy|MM|dd"]).collect()}
+    want_rows = sorted(rows(cleaning.clean_facts(table, ["yyyy|MM|dd"])), key=repr)
+
+    def write(cleaned):
+        cleaned.write.parquet(out)
+        path.unlink()
+
+    report = {r.metric: r.value for r in cleaning.write_cleaned(table, write, ["yyyy|MM|dd"]).collect()}
+    assert report == want and sorted(rows(spark.read.parquet(out)), key=repr) == want_rows
+    assert {k: report[k] for k in ("rows_in", "removed_missing_key", "removed_dep_delay_out_of_range", "removed_duplicates", "rows_out")} == {
+        "rows_in": 7, "removed_missing_key": 2, "removed_dep_delay_out_of_range": 1, "removed_duplicates": 2, "rows_out": 2,
+    }
+    # Without the own form the dates are unknown.
+    path.write_text("\n".join([",".join(FACT_COLUMNS), *lines]) + "\n")
+    other = {r.metric: r.value for r in cleaning.cleaning_report(read_raw_csv(spark, str(path))).collect()}
+    assert other["rows_out"] == 1
+
+
+def test_report_on_an_empty_table(spark):
+    out = new_folder(spark, "cleaned")
+    empty = raw(spark, {"origin": "x"}).limit(0)
+    report = {r.metric: r.value for r in cleaning.write_cleaned(empty, lambda df: df.write.parquet(out)).collect()}
+    assert report["rows_in"] == report["rows_out"] == 0 and report["columns_out"] == len(FACT_COLUMNS)

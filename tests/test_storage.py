@@ -2,7 +2,7 @@ from helpers import facts, flight, rows
 from pyspark.sql import functions as F
 
 from runwaylens.schema import FACT_SCHEMA
-from runwaylens.sources import readers, writers
+from runwaylens.sources import conversion, readers, writers
 from runwaylens.sources.scratch import new_folder
 
 
@@ -62,7 +62,7 @@ def test_conversion_keeps_files_of_one_name_apart(spark, tmp_path):
         lines(spark, one, "b c.csv", HEADER, full),
     ]
     out = new_folder(spark, "converted")
-    status = writers.convert_csv_folders(spark, [one, two], out).collect()
+    status = conversion.convert_csv_folders(spark, [one, two], out).collect()
     got = {r.source_file.removeprefix("file:"): (r.rows, r.status) for r in status}
     assert got == dict(zip(paths, [(2, "converted"), (3, "converted"), (1, "converted")]))
     assert spark.read.parquet(out).groupBy("source_file").count().count() == 3
@@ -91,7 +91,7 @@ def test_conversion_goes_on_after_odd_files(spark, tmp_path):
     lines(spark, two, "empty.csv", HEADER)
     lines(spark, two, "notes.txt", "not a table")
     out = new_folder(spark, "converted")
-    status = writers.convert_csv_folders(spark, [one, two, f"{one}-absent"], out)
+    status = conversion.convert_csv_folders(spark, [one, two, f"{one}-absent"], out)
     got = {r.source_file.rpartition("/")[2]: (r.rows, r.bad_rows, r.status) for r in status.collect()}
     assert got == {
         "a.csv": (2, 0, "converted"),
