@@ -52,6 +52,19 @@ def remove(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def move(spark: SparkSession, source: str, target: str) -> bool:
+    """Put a written folder in the place of another, wherever both are; false where there is no such source."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(source).getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(path(source)):
+        return False
+    files.delete(path(target), True)
+    files.mkdirs(path(target).getParent())
+    if not files.rename(path(source), path(target)):
+        raise OSError(f"{source} cannot be moved to {target}")
+    return True
+
+
 class Workspace:
     """Intermediate tables of one operator, under the shared folder.
 

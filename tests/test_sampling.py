@@ -115,3 +115,75 @@ def test_stored_goes_to_the_shared_folder(spark):
     df = stored(spark.range(5), "kept")
     assert df.inputFiles() and all(shared_root(spark) in f for f in df.inputFiles())
     assert df.count() == 5
+
+
+def scans_of(spark, path, run):
+    """How many scans of a folder the jobs of ``run`` make."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    before = store.executionsCount()
+    run()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    found = store.executionsList().drop(int(before)).iterator()
+    texts = []
+    while found.hasNext():
+        texts.append(found.next().physicalPlanDescription())
+    return sum(1 for t in texts for part in t.split("\n\n") if "Scan parquet" in part and path in part)
+
+
+@pytest.mark.parametrize("fractions", [[0.2], [0.01, 0.1, 0.25, 0.5, 1.0, 1.25, 1.5, 3.5]])
+def test_three_scans_for_any_number_of_samples(spark, table, fractions):
+    source, out = table.inputFiles()[0].rpartition("/")[0], new_folder(spark, "suite")
+    folder = source.rpartition("/")[2]
+    assert scans_of(spark, folder, lambda: sampling.write_samples(table, out, fractions, fixed_order=True)) == 3
+    n = table.count()
+    for f in fractions:
+        want = round(n * f) if f <= 1 else n + int(n * (f - 1))
+        assert spark.read.parquet(f"{out}/{sampling.sample_name(f)}").count() == want
+
+
+def test_suite_samples_equal_single_ones(spark, table):
+    out = new_folder(spark, "suite")
+    sampling.write_samples(table, out, [0.3, 0.1, 1.4], fixed_order=True)
+    for f in (0.1, 0.3, 1.4):
+        alone = sampling.scaled_sample(table, f, fixed_order=True)
+        written = spark.read.parquet(f"{out}/{sampling.sample_name(f)}")
+        assert sorted(map(tuple, written.collect())) == sorted(map(tuple, alone.collect()))
+    small, large = (spark.read.parquet(f"{out}/sample_{x}pct") for x in ("010", "030"))
+    assert small.exceptAll(large).count() == 0
+
+
+def test_samples_of_small_and_empty_tables(spark):
+    for n in (0, 1, 2, 7):
+        path, out = new_folder(spark, "small"), new_folder(spark, "suite")
+        spark.range(n).withColumn("sample", F.lit("x")).write.parquet(path)
+        sampling.write_samples(read_facts(spark, path), out, [0.1, 0.5, 1.0, 1.5, 9.0], fixed_order=True)
+        got = [spark.read.parquet(f"{out}/{sampling.sample_name(f)}") for f in (0.1, 0.5, 1.0, 1.5, 9.0)]
+        assert [df.count() for df in got] == [round(n * 0.1), round(n * 0.5), n, n + int(n * 0.5), 9 * n]
+        assert all(df.columns == ["id", "sample"] for df in got)
+
+
+def test_names_must_differ(spark, table):
+    with pytest.raises(ValueError):
+        sampling.write_samples(table, "unused", [0.1, 0.101], fixed_order=True)
+
+
+def test_larger_samples_never_shuffle_whole_rows_and_are_even(spark):
+    """Copies of a row are spread as independent draws are: chi-square over rows, and over copies of copies."""
+    path = new_folder(spark, "even")
+    spark.range(6000).select("id", F.lit("same wide row").alias("v")).repartition(5).write.parquet(path)
+    picked = sampling.oversample_exact(read_facts(spark, path), 4.0, fixed_order=True)
+    assert "Exchange" not in picked._jdf.queryExecution().executedPlan().toString()
+    hits = {r.id: r["count"] - 1 for r in picked.groupBy("id").count().collect()}
+    assert sum(hits.values()) == 18000 and len(hits) == 6000
+    spread = sum((h - 3.0) ** 2 for h in hits.values()) / 3.0
+    assert abs(spread - 6000) < 6 * (2 * 6000) ** 0.5
+    shares = [sum(1 for h in hits.values() if h == k) / 6000 for k in range(3)]
+    assert all(abs(got - want) < 0.03 for got, want in zip(shares, [0.0498, 0.1494, 0.2240], strict=True))
+    parts = [sum(h for i, h in hits.items() if i % 6 == k) for k in range(6)]
+    assert all(abs(p - 3000) < 300 for p in parts)
+
+
+def test_poisson_steps_are_sums_of_probabilities():
+    steps = sampling.poisson_steps(0.3125)
+    assert abs(steps[0] - 0.7316156289466418) < 1e-15 and abs(steps[1] - steps[0] * 1.3125) < 1e-15
+    assert steps == sorted(steps) and 1 - steps[-1] < 1e-12
