@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from runwaylens.functions import delay_band, flag_rate, mean_from, present
+from runwaylens.operators.joins import shared
 from runwaylens.schema import FLIGHT_ROLES, Roles
 
 NO_CAUSE = "none"
@@ -70,6 +71,32 @@ def band_stats(df: DataFrame, roles: Roles = FLIGHT_ROLES) -> DataFrame:
     )
 
 
+def band_cells(df: DataFrame, roles: Roles = FLIGHT_ROLES) -> DataFrame:
+    """Per site, period and band: count, averages, and sums and counts of the positive minutes of every cause.
+
+    Rows without a band, site or period stay as groups of their own, since their causes count.
+    """
+    positive = {label: F.when(F.col(c) > 0, F.col(c)) for label, c in roles.causes.items()}
+    return df.groupBy(
+        F.col(roles.site).alias("origin"),
+        F.col(roles.period).alias("month"),
+        delay_band(roles.measure).alias("delay_band"),
+    ).agg(
+        F.count(F.lit(1)).alias("num_flights"),
+        F.round(F.avg(roles.measure), 2).alias("avg_dep"),
+        F.round(F.avg(roles.second_measure), 2).alias("avg_arr"),
+        *[F.sum(v).alias(f"sum_{label}") for label, v in positive.items()],
+        *[F.count(v).alias(f"n_{label}") for label, v in positive.items()],
+    )
+
+
+def cell_cause_means(cells: DataFrame, roles: Roles = FLIGHT_ROLES) -> DataFrame:
+    """``cause_means`` from the cells, without a further scan."""
+    means = [mean_from(F.sum(f"sum_{label}"), F.sum(f"n_{label}")).alias(label) for label in roles.causes]
+    wide = cells.groupBy("origin", "month").agg(*means)
+    return wide.unpivot(["origin", "month"], list(roles.causes), "cause", "avg_minutes").where(present("avg_minutes"))
+
+
 def cause_rows(df: DataFrame, roles: Roles = FLIGHT_ROLES) -> DataFrame:
     """One row per fact row and cause with positive minutes."""
     named = df.select(
@@ -93,18 +120,16 @@ def cause_means(df: DataFrame, roles: Roles = FLIGHT_ROLES) -> DataFrame:
 
 
 def cause_means_union(df: DataFrame, roles: Roles = FLIGHT_ROLES) -> DataFrame:
-    """Same again as a union of one aggregate per cause; scans the table once per cause."""
+    """Same again as a union of one branch per cause, all from one aggregate."""
+    wide = shared(cause_means_wide(df, roles))
     parts = [
-        df.where(F.col(c) > 0)
-        .groupBy(F.col(roles.site).alias("origin"), F.col(roles.period).alias("month"))
-        .agg(F.avg(c).alias("avg_minutes"))
-        .withColumn("cause", F.lit(label))
-        for label, c in roles.causes.items()
+        wide.where(present(label)).select("origin", "month", F.lit(label).alias("cause"), F.col(label).alias("avg_minutes"))
+        for label in roles.causes
     ]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.select("origin", "month", "cause", "avg_minutes")
+    return out
 
 
 def rank_causes(means: DataFrame, top: int = TOP_CAUSES) -> DataFrame:

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from runwaylens.functions import flag_rate, mean_from, present
+from runwaylens.operators.joins import shared
 from runwaylens.schema import FLIGHT_ROLES, Roles
 
+
 def member_totals(df: DataFrame, roles: Roles = FLIGHT_ROLES) -> DataFrame:
     """Counts and sums per (site, entity); rows without an entity stay, as a group of their own."""
     return (
@@ -26,9 +28,13 @@ def member_totals(df: DataFrame, roles: Roles = FLIGHT_ROLES) -> DataFrame:
 
 def member_stats(df: DataFrame, roles: Roles = FLIGHT_ROLES) -> DataFrame:
     """Report figures per (site, entity), without rows that lack an entity."""
+    return member_figures(member_totals(df, roles))
+
+
+def member_figures(totals: DataFrame) -> DataFrame:
+    """``member_stats`` from member totals."""
     return (
-        member_totals(df, roles)
-        .where("carrier IS NOT NULL")
+        totals.where("carrier IS NOT NULL")
         .withColumn("avg_dep_delay", F.round(mean_from("dep_sum", "dep_n"), 4))
         .select("origin", "carrier", "num_flights", "avg_dep_delay", "avg_arr_delay", "cancel_rate")
     )
@@ -54,12 +60,42 @@ def with_site_mean(totals: DataFrame) -> DataFrame:
     return totals.withColumn("avg_dep_airport", F.round(mean, 4))
 
 
+def total_means(totals: DataFrame, only_valid: bool = False) -> DataFrame:
+    """``site_means`` from totals of any finer grain."""
+    means = totals.groupBy("origin").agg(
+        F.round(mean_from(F.sum("dep_sum"), F.sum("dep_n")), 4).alias("avg_dep_airport"), F.sum("dep_n").alias("dep_n")
+    )
+    return (means.where("dep_n > 0") if only_valid else means).select("origin", "avg_dep_airport")
+
+
 def with_site_mean_joined(totals: DataFrame) -> DataFrame:
     """Same by aggregate and join, for sites with so many members that one task should not hold a site."""
-    means = totals.groupBy("origin").agg(
-        F.round(mean_from(F.sum("dep_sum"), F.sum("dep_n")), 4).alias("avg_dep_airport")
+    return totals.join(total_means(totals), "origin")
+
+
+def members_with_site_mean(df: DataFrame, roles: Roles = FLIGHT_ROLES, only_valid: bool = False) -> DataFrame:
+    """``member_stats`` joined with the mean of their site; both come from one aggregate over the facts."""
+    totals = shared(member_totals(df, roles))
+    return member_figures(totals).join(total_means(totals, only_valid), "origin")
+
+
+def labelled_counts_with_site_mean(
+    df: DataFrame, label: Column, name: str = "cause", roles: Roles = FLIGHT_ROLES, default: float = 0.0
+) -> DataFrame:
+    """Rows per site and label, with the mean of the site, or a default where the site has none.
+
+    Counts and means come from one aggregate per site and label. Rows without a site are counted with the default.
+    """
+    totals = shared(
+        df.groupBy(F.col(roles.site).alias("origin"), label.alias(name)).agg(
+            F.count(F.lit(1)).alias("num_flights"),
+            F.sum(roles.measure).alias("dep_sum"),
+            F.count(roles.measure).alias("dep_n"),
+        )
     )
-    return totals.join(means, "origin")
+    counts = totals.select("origin", name, "num_flights")
+    joined = counts.join(total_means(totals, only_valid=True), "origin", "left")
+    return joined.withColumn("avg_dep_airport", F.coalesce("avg_dep_airport", F.lit(default)))
 
 
 def with_difference(df: DataFrame) -> DataFrame:

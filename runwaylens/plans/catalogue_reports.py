@@ -236,8 +236,7 @@ def _(spark, sf):
 
 @query("delta_to_airport_mean", over("flights", "SELECT origin, carrier, dep_diff FROM placed", **RANKING_STEPS))
 def _(spark, sf):
-    df = flights(spark, sf)
-    joined = ranking.member_stats(df).join(ranking.site_means(df), "origin")
+    joined = ranking.members_with_site_mean(flights(spark, sf))
     return ranking.with_difference(joined).select("origin", "carrier", "dep_diff")
 
 
@@ -274,9 +273,5 @@ LABELS = {"A": "Carrier", "B": "Weather", "C": "NAS", "D": "Security"}
     ),
 )
 def _(spark, sf):
-    df = flights(spark, sf)
-    counts = df.groupBy(
-        "origin", lookup("cancellation_code", LABELS, F.lit("none")).alias("cause")
-    ).agg(F.count(F.lit(1)).alias("num_flights"))
-    means = ranking.site_means(df, only_valid=True)
-    return counts.join(means, "origin", "left").fillna(0.0, subset=["avg_dep_airport"])
+    cause = lookup("cancellation_code", LABELS, F.lit("none"))
+    return ranking.labelled_counts_with_site_mean(flights(spark, sf), cause)

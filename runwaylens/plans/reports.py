@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from runwaylens.functions import delay_band, mean_from, present
+from runwaylens.functions import mean_from, present
 from runwaylens.operators.grouping import (
     active_periods,
-    band_stats,
-    cause_means,
+    band_cells,
+    cell_cause_means,
     pad_causes,
     period_stats,
     pivot_causes,
@@ -18,11 +18,10 @@ from runwaylens.operators.grouping import (
     top_cause_columns,
     with_active_periods,
 )
-from runwaylens.operators.joins import same_keys
+from runwaylens.operators.joins import same_keys, shared
 from runwaylens.operators.ranking import (
-    member_stats,
     member_totals,
-    site_means,
+    members_with_site_mean,
     with_difference,
     with_rank,
     with_rank_split,
@@ -51,8 +50,8 @@ def airline_stats(df: DataFrame, roles: Roles = FLIGHT_ROLES, months_as_text: bo
 
 
 def airline_stats_joined(df: DataFrame, roles: Roles = FLIGHT_ROLES) -> DataFrame:
-    """Same result with the active months joined back to the monthly rows."""
-    stats = period_stats(df, roles)
+    """Same result with the active months joined back to the monthly rows; both sides share one aggregate."""
+    stats = shared(period_stats(df, roles))
     return stats.join(active_periods(stats), ["carrier", "origin"]).orderBy("carrier", "origin", "month")
 
 
@@ -63,22 +62,7 @@ def delay_report(df: DataFrame, roles: Roles = FLIGHT_ROLES) -> DataFrame:
     the sums of the causes, and rows without a band are kept until the causes are summed over
     the bands. The window then sees at most four rows per airport and month.
     """
-    positive = {label: F.when(F.col(c) > 0, F.col(c)) for label, c in roles.causes.items()}
-    cells = (
-        df.where(present(roles.site, roles.period))
-        .groupBy(
-            F.col(roles.site).alias("origin"),
-            F.col(roles.period).alias("month"),
-            delay_band(roles.measure).alias("delay_band"),
-        )
-        .agg(
-            F.count(F.lit(1)).alias("num_flights"),
-            F.round(F.avg(roles.measure), 2).alias("avg_dep"),
-            F.round(F.avg(roles.second_measure), 2).alias("avg_arr"),
-            *[F.sum(v).alias(f"sum_{label}") for label, v in positive.items()],
-            *[F.count(v).alias(f"n_{label}") for label, v in positive.items()],
-        )
-    )
+    cells = band_cells(df.where(present(roles.site, roles.period)), roles)
     place = Window.partitionBy("origin", "month")
     figures = ["origin", "month", "delay_band", "num_flights", "avg_dep", "avg_arr"]
     means = [
@@ -95,24 +79,18 @@ def delay_report(df: DataFrame, roles: Roles = FLIGHT_ROLES) -> DataFrame:
 
 
 def delay_report_joined(df: DataFrame, roles: Roles = FLIGHT_ROLES) -> DataFrame:
-    """Same result from two aggregates: ranked and pivoted causes, left-joined to the bands."""
-    causes = pivot_causes(rank_causes(cause_means(df, roles)))
-    report = pad_causes(band_stats(df, roles).join(causes, ["origin", "month"], "left"))
-    return report.orderBy("origin", "month", "delay_band")
+    """Same result by a left join of ranked and pivoted causes to the bands; both come from the same cells."""
+    cells = shared(band_cells(df.where(present(roles.site, roles.period)), roles))
+    bands = cells.where(present("delay_band")).select("origin", "month", "delay_band", "num_flights", "avg_dep", "avg_arr")
+    causes = pivot_causes(rank_causes(cell_cause_means(cells, roles)))
+    return pad_causes(bands.join(causes, ["origin", "month"], "left")).orderBy("origin", "month", "delay_band")
 
 
 def delay_report_null_safe(df: DataFrame, roles: Roles = FLIGHT_ROLES) -> DataFrame:
     """Variant that keeps rows without airport or month, whose NULL keys match each other."""
-    bands = (
-        df.where(present(roles.measure))
-        .groupBy(
-            F.col(roles.site).alias("origin"),
-            F.col(roles.period).alias("month"),
-            delay_band(roles.measure).alias("delay_band"),
-        )
-        .agg(F.count(F.lit(1)).alias("num_flights"))
-    )
-    causes = pivot_causes(rank_causes(cause_means(df, roles))).withColumnsRenamed(
+    cells = shared(band_cells(df, roles))
+    bands = cells.where(present("delay_band")).select("origin", "month", "delay_band", "num_flights")
+    causes = pivot_causes(rank_causes(cell_cause_means(cells, roles))).withColumnsRenamed(
         {"origin": "cause_origin", "month": "cause_month"}
     )
     same = same_keys(["origin", "month"], ["cause_origin", "cause_month"])
@@ -144,11 +122,11 @@ def carrier_ranking(
 
 
 def carrier_ranking_joined(df: DataFrame, roles: Roles = FLIGHT_ROLES, only_valid: bool = False) -> DataFrame:
-    """Same result from two aggregates and a join.
+    """Same result by a join of members and site means, which share one aggregate.
 
     With ``only_valid`` airports without any departure delay are left out, and ties are
     broken, as when the means are filtered before an inner join.
     """
-    stats = member_stats(df, roles).join(site_means(df, roles, only_valid), "origin")
+    stats = members_with_site_mean(df, roles, only_valid)
     ranked = with_rank(with_difference(stats), "sequential" if only_valid else "rank")
     return ranked.select(*RANKING_COLUMNS).orderBy("origin", "rank", "carrier")
