@@ -11,13 +11,15 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runwaylens.operators import profile, runlog
+from runwaylens.operators import runlog
 from runwaylens.operators.cleaning import write_cleaned
+from runwaylens.operators.full_profile import full_profile
 from runwaylens.operators.sampling import write_sample_suite
 from runwaylens.plans import reports
 from runwaylens.schema import DATE_FORMATS, FACT_SCHEMA, RUN_LOG_SCHEMA, SAMPLE_FRACTIONS
 from runwaylens.sources.conversion import convert_csv_folders
 from runwaylens.sources.readers import read_fact_csv, read_facts, read_raw_csv, read_run_log
+from runwaylens.sources.versioned import current_path, current_version, replace_table
 from runwaylens.sources.writers import (
     REPORT_COLUMNS,
     numeric_key,
@@ -84,28 +86,12 @@ def report(spark: SparkSession, a: argparse.Namespace) -> None:
 
 
 def profiles(spark: SparkSession, a: argparse.Namespace) -> None:
-    df = load(spark, a.input)
-    parts = {
-        "nulls": profile.null_profile(df),
-        "duplicates": profile.duplicate_profile(df),
-        "by_month": profile.value_counts(df, "month", by_value=True),
-        "by_carrier": profile.value_counts(df, "op_unique_carrier"),
-        "histogram": profile.histogram(df),
-        "cancelled": profile.flag_share(df),
-        "cancel_causes": profile.cancellation_causes(df),
-        "cancel_rate": profile.flag_rate_by(df, "op_unique_carrier"),
-        "delay_by_carrier": profile.means_by_entity(df),
-        "delay_by_month": profile.means_by_month(df),
-        "top_by_count": profile.top_by_count(df),
-        "top_by_delay": profile.top_by_mean(df),
-        "describe": profile.describe(df),
-    }
-    for name, part in parts.items():
+    for name, part in full_profile(load(spark, a.input)).items():
         write_delimited(part, f"{a.output}/{name}")
 
 
 def compare(spark: SparkSession, a: argparse.Namespace) -> None:
-    logs = [(read_run_log(spark, path), env) for path, env in ((a.local, "local"), (a.cluster, "cluster"))]
+    logs = [(read_run_log(spark, current_path(spark, path)), env) for path, env in ((a.local, "local"), (a.cluster, "cluster"))]
     runs = runlog.combined_log(*logs)
     compared = runlog.compare_environments(runs)
     parts = {
@@ -138,10 +124,16 @@ def sort_keys(name: str) -> list:
 
 
 def save_runs(spark: SparkSession, a: argparse.Namespace) -> None:
-    """The log with new runs added or put in place of old ones, written to a new folder."""
-    old, new = (spark.read.csv(path, header=True, schema=RUN_LOG_SCHEMA) for path in (a.log, a.new))
+    """The log with new runs added or put in place of old ones.
+
+    Written to ``output``, a table of versions, which may be the log itself: the old version is there until the new one
+    is whole.
+    """
+    old = spark.read.csv(current_path(spark, a.log), header=True, schema=RUN_LOG_SCHEMA)
+    new = spark.read.csv(a.new, header=True, schema=RUN_LOG_SCHEMA)
+    version = current_version(spark, a.output)
     merged = runlog.upsert(with_environment(old, a.environment), with_environment(new, a.environment))
-    write_csv(merged.drop("action"), a.output)
+    replace_table(spark, a.output, merged.drop("action"), write_csv, version)
 
 
 def with_environment(runs: DataFrame, environment: str) -> DataFrame:

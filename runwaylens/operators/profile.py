@@ -8,18 +8,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from runwaylens.functions import clip, lookup, mean_from, month_label
+from runwaylens.functions import clip, lookup, month_label
 from runwaylens.schema import (
     CANCELLATION_LABELS,
     HISTOGRAM_BINS,
     HISTOGRAM_CLIP,
     NUMBER_COLUMNS,
 )
+from runwaylens.sources.scratch import Workspace
 
 QUARTILES = [0.25, 0.5, 0.75]
-SLICES_PER_DOUBLING = 64
-# Equal parts into which a slice with a wanted position is cut.
-PARTS = 4096
+# Distinct values of all columns that one range holds, about.
+PART_VALUES = 200_000
 SKETCH_ACCURACY = 10000
 
 
@@ -45,11 +45,28 @@ def copies(df: DataFrame) -> DataFrame:
     return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("copies"))
 
 
+def row_digest(columns: Sequence[str]) -> list[Column]:
+    """Two 64-bit hashes that stand for a row: equal for equal rows, and as good as never for others.
+
+    Which columns are NULL is hashed first, since the hash of the values passes over NULL.
+    """
+    gaps = F.concat(*[F.when(F.col(f"`{c}`").isNull(), "0").otherwise("1") for c in columns])
+    values = [F.col(f"`{c}`") for c in columns]
+    return [F.xxhash64(F.lit(seed), gaps, *values).alias(name) for seed, name in ((1, "digest_1"), (2, "digest_2"))]
+
+
+def digest_copies(df: DataFrame, **figures: Column) -> DataFrame:
+    """``copies`` by digest: 16 bytes a row are shuffled, however wide the rows, and sums of any ``figures``."""
+    made = df.select(*row_digest(df.columns), *[f.alias(name) for name, f in figures.items()])
+    sums = [F.sum(name).alias(name) for name in figures]
+    return made.groupBy("digest_1", "digest_2").agg(F.count(F.lit(1)).alias("copies"), *sums)
+
+
 def duplicate_profile(df: DataFrame) -> DataFrame:
     """Rows beyond the first of each set of equal rows (NULL equals NULL), and their share."""
     total = F.coalesce(F.sum("copies"), F.lit(0))
     return (
-        copies(df)
+        digest_copies(df)
         .agg(total.alias("rows"), (total - F.count(F.lit(1))).alias("duplicates"))
         .withColumn("duplicate_pct", F.round(F.try_divide(F.col("duplicates") * 100.0, F.col("rows")), 3))
     )
@@ -72,140 +89,115 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
 
 
 def value_frequencies(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(column, value, n) for the non-missing values; equal values meet inside each task first."""
+    """(at, value, n) for the non-missing values of the column at each place; equal values meet inside each task first."""
+    places = [str(i) for i in range(len(columns))]
     return (
-        df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-        .unpivot([], list(columns), "column", "value")
+        df.select(*[F.col(f"`{c}`").cast("double").alias(i) for i, c in zip(places, columns, strict=True)])
+        .unpivot([], places, "at", "value")
         .where("value IS NOT NULL")
-        .groupBy("column", "value")
+        .groupBy("at", "value")
         .agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("at", F.col("at").cast("int"))
     )
 
 
-def _slice(value: Column) -> Column:
-    """Coarse number that grows with the value: about one percent of its size per step.
+def in_ranges(freq: DataFrame, work: Workspace, part_values: int = PART_VALUES) -> DataFrame:
+    """Stored frequencies with ``part``, the number of a range of neighbouring values of all columns.
 
-    Never NULL, so that joins on it add no filter below the shared value frequencies.
+    The ranges follow the values: Spark samples them and cuts where equal numbers of them lie, so neither clusters nor
+    far outliers put many into one part. As few distinct values as one range holds are one part as they are.
     """
-    step = F.floor(F.signum(value) * F.log2(F.abs(value) + 1) * SLICES_PER_DOUBLING)
-    return F.coalesce(step, F.lit(0))
+    parts = -(-freq.count() // part_values)
+    if parts <= 1:
+        return freq.withColumn("part", F.lit(0))
+    ranged = freq.repartitionByRange(parts, "at", "value").withColumn("part", F.spark_partition_id())
+    return work.save(ranged, "ranged")
 
 
-def exact_quantiles(freq: DataFrame, probabilities: Sequence[float] = tuple(QUARTILES)) -> DataFrame:
-    """(column, q): exact quantiles, linearly interpolated, from value frequencies.
+def frequency_stats(ranged: DataFrame, probabilities: Sequence[float] = tuple(QUARTILES)) -> DataFrame:
+    """One row per column place: count, mean, std (n - 1), min, max and interpolated quantiles ``q``.
 
-    Rows are counted per slice of the value range first. The slices in which a wanted
-    position falls are cut again, into PARTS equal parts of the range that their own values
-    span, and only the parts with a wanted position are walked in order, each as a sorted
-    running count that can spill. So no list of all distinct values is ever built, whatever
-    range the column has.
+    Every part is walked in order as a sorted running count that can spill; the rows of the parts before it are added.
+    Offsets and means have one row for each part and column.
     """
-    sliced = freq.withColumn("slice", _slice(F.col("value")))
-    up_to = Window.partitionBy("column").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    placed = (
-        sliced.groupBy("column", "slice")
-        .agg(F.sum("n").alias("rows"), F.min("value").alias("lo"), F.max("value").alias("hi"))
-        .withColumn("before", F.coalesce(F.sum("rows").over(up_to), F.lit(0)))
-        .withColumn("last", F.sum("rows").over(Window.partitionBy("column")) - 1)
+    parts = ranged.groupBy("at", "part").agg(
+        F.sum("n").alias("rows"), F.sum(F.col("value") * F.col("n")).alias("total"), F.min("value").alias("low")
     )
-    # The two row positions around each quantile, and those of them that lie in the slice.
-    positions = F.array(
-        *[
-            F.struct(F.lit(i).alias("q"), end(F.col("last") * F.lit(p)).alias("position"))
-            for i, p in enumerate(probabilities)
-            for end in (F.floor, F.ceil)
-        ]
+    column = Window.partitionBy("at")
+    before = F.sum("rows").over(column.orderBy("low")) - F.col("rows")
+    whole = F.sum("rows").over(column)
+    heads = parts.select(
+        "at", "part", before.alias("before"), whole.alias("all_rows"), (F.sum("total").over(column) / whole).alias("centre")
     )
-    needed = placed.withColumn("wanted", _positions_within(positions, F.col("before"), F.col("rows"))).where(
-        F.size("wanted") > 0
+    inside = Window.partitionBy("at", "part").orderBy("value")
+    walked = ranged.join(F.broadcast(heads), ["at", "part"]).withColumn("end", F.col("before") + F.sum("n").over(inside))
+    off = F.col("value") - F.col("centre")
+    last = F.col("all_rows") - 1
+
+    def quantile(p: float) -> Column:
+        def at(position: Column) -> Column:
+            held = (F.col("end") - F.col("n") <= position) & (position < F.col("end"))
+            return F.max(F.when(held, F.col("value")))
+
+        place = last * F.lit(p)
+        lo, hi = at(F.floor(place)), at(F.ceil(place))
+        share = F.first(place - F.floor(place))
+        return lo + (hi - lo) * share
+
+    return walked.groupBy("at").agg(
+        F.sum("n").alias("count"),
+        F.first("centre").alias("mean"),
+        F.sqrt(F.try_divide(F.sum(F.col("n") * off * off), F.sum("n") - 1)).alias("std"),
+        F.min("value").alias("min"),
+        F.max("value").alias("max"),
+        F.array(*[quantile(p) for p in probabilities]).alias("q"),
     )
 
-    # Two slices, and then parts, per column and quantile at most: the broadcasts are bounded by the request.
-    span = F.col("hi") - F.col("lo")
-    part = F.coalesce(F.floor(F.try_divide(F.col("value") - F.col("lo"), span) * PARTS), F.lit(0)).alias("part")
-    inner = sliced.join(F.broadcast(needed), ["column", "slice"]).select(
-        "column", "slice", part, "value", "n", "before", "last", "wanted"
-    )
-    below = Window.partitionBy("column", "slice").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = (
-        inner.groupBy("column", "slice", "part")
-        .agg(F.sum("n").alias("rows"), *[F.first(c).alias(c) for c in ("before", "last", "wanted")])
-        .withColumn("before", F.col("before") + F.coalesce(F.sum("rows").over(below), F.lit(0)))
-        .withColumn("wanted", _positions_within(F.col("wanted"), F.col("before"), F.col("rows")))
-        .where(F.size("wanted") > 0)
-        .drop("rows")
-    )
-    inside = Window.partitionBy("column", "slice", "part").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
-    walked = (
-        inner.select("column", "slice", "part", "value", "n")
-        .join(F.broadcast(parts), ["column", "slice", "part"])
-        .withColumn("start", F.col("before") + F.coalesce(F.sum("n").over(inside), F.lit(0)))
-    )
-    hits = walked.withColumn("wanted", _positions_within(F.col("wanted"), F.col("start"), F.col("n")))
 
-    def quantile(i: int, p: float) -> Column:
-        value = F.when(F.exists("wanted", lambda w: w["q"] == i), F.col("value"))
-        exact = F.max("last") * F.lit(p)
-        lo, hi = F.min(value), F.max(value)
-        return lo + (hi - lo) * (exact - F.floor(exact))
+DESCRIBED = "column string, count long, mean double, std double, min double, p25 double, p50 double, p75 double, max double"
 
-    quantiles = F.array(*[quantile(i, p) for i, p in enumerate(probabilities)])
-    return hits.where(F.size("wanted") > 0).groupBy("column").agg(quantiles.alias("q"))
 
+def described(stats: DataFrame) -> DataFrame:
+    """Figures by column name in the layout of ``describe``."""
+    quartiles = [F.round(F.col("q")[i], 2).alias(f"p{round(p * 100)}") for i, p in enumerate(QUARTILES)]
+    rounded = {c: F.round(c, 2).alias(c) for c in ("mean", "std", "min", "max")}
+    return stats.select("column", "count", rounded["mean"], rounded["std"], rounded["min"], *quartiles, rounded["max"])
 
-def _positions_within(wanted: Column, start: Column, n: Column) -> Column:
-    return F.filter(wanted, lambda w: (w["position"] >= start) & (w["position"] < start + n))
 
-
-def moments(freq: DataFrame) -> DataFrame:
-    """count, mean, std (n - 1), min and max per column from value frequencies."""
-    # One row per profiled column, so the broadcast is bounded by the schema.
-    means = freq.groupBy("column").agg((F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("centre"))
-    off = F.col("value") - F.col("centre")
-    return (
-        freq.join(F.broadcast(means), "column")
-        .groupBy("column")
-        .agg(
-            F.sum("n").alias("count"),
-            F.first("centre").alias("mean"),
-            F.sqrt(F.try_divide(F.sum(F.col("n") * off * off), F.sum("n") - 1)).alias("std"),
-            F.min("value").alias("min"),
-            F.max("value").alias("max"),
-        )
-    )
+def describe_frequencies(freq: DataFrame, columns: Sequence[str], work: Workspace) -> DataFrame:
+    """``describe`` from stored value frequencies; the figures, one row per column, are worked out at once."""
+    spark = freq.sparkSession
+    ranged = in_ranges(freq, work)
+    names = F.broadcast(spark.createDataFrame(list(enumerate(columns)), "at int, column string"))
+    figures = described(frequency_stats(ranged).join(names, "at")).collect()
+    return spark.createDataFrame(figures, DESCRIBED)
 
 
 def describe(df: DataFrame, columns: Sequence[str] = tuple(NUMBER_COLUMNS), exact: bool = True) -> DataFrame:
     """count, mean, std (n - 1), min, quartiles (linear interpolation) and max per column.
 
-    The exact form works on value frequencies: the table is reduced to one row per
-    distinct value, spread over all tasks, before the figures of a column meet. With
-    ``exact=False`` quartiles come from mergeable sketches of fixed size, in one pass.
+    The exact form works on value frequencies: one scan reduces the table to one row per distinct value and column,
+    which is written to the shared folder, cut into even ranges and removed at the end. With ``exact=False`` quartiles
+    come from mergeable sketches of fixed size, in one pass.
     """
     if exact:
-        freq = value_frequencies(df, columns)
-        # One row per profiled column on either side.
-        stats = moments(freq).join(F.broadcast(exact_quantiles(freq)), "column")
-    else:
-        rows = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-        stats = (
-            rows.unpivot([], list(columns), "column", "value")
-            .where("value IS NOT NULL")
-            .groupBy("column")
-            .agg(
-                F.count("value").alias("count"),
-                F.avg("value").alias("mean"),
-                F.stddev_samp("value").alias("std"),
-                F.min("value").alias("min"),
-                F.percentile_approx("value", QUARTILES, SKETCH_ACCURACY).alias("q"),
-                F.max("value").alias("max"),
-            )
+        with Workspace(df.sparkSession, "describe") as work:
+            return describe_frequencies(work.save(value_frequencies(df, columns), "frequencies"), columns, work)
+    rows = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    stats = (
+        rows.unpivot([], list(columns), "column", "value")
+        .where("value IS NOT NULL")
+        .groupBy("column")
+        .agg(
+            F.count("value").alias("count"),
+            F.avg("value").alias("mean"),
+            F.stddev_samp("value").alias("std"),
+            F.min("value").alias("min"),
+            F.percentile_approx("value", QUARTILES, SKETCH_ACCURACY).alias("q"),
+            F.max("value").alias("max"),
         )
-    quartiles = [F.round(F.col("q")[i], 2).alias(f"p{round(p * 100)}") for i, p in enumerate(QUARTILES)]
-    rounded = {c: F.round(c, 2).alias(c) for c in ("mean", "std", "min", "max")}
-    return stats.select(
-        "column", "count", rounded["mean"], rounded["std"], rounded["min"], *quartiles, rounded["max"]
     )
+    return described(stats)
 
 
 def scalar_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -324,16 +316,16 @@ def histogram(
 
 def table_metrics(df: DataFrame, name: str, missing: str = "dep_delay", flag: str = "cancelled") -> DataFrame:
     """(dataset, metric, value): rows, columns, copies, missing measures and set flags; one pass."""
-    n = F.col("copies")
-    total = F.coalesce(F.sum(n), F.lit(0))
+    total = F.coalesce(F.sum("copies"), F.lit(0))
+    groups = digest_copies(df, missing=F.col(missing).isNull().cast("long"), flags=F.col(flag).try_cast("double"))
     metrics = {
         "rows": total,
         "columns": F.lit(len(df.columns)),
         "duplicates": total - F.count(F.lit(1)),
-        f"missing_{missing}": F.coalesce(F.sum(F.when(F.col(missing).isNull(), n)), F.lit(0)),
-        f"total_{flag}": F.coalesce(F.sum(F.col(flag).try_cast("double") * n), F.lit(0.0)),
+        f"missing_{missing}": F.coalesce(F.sum("missing"), F.lit(0)),
+        f"total_{flag}": F.coalesce(F.sum("flags"), F.lit(0.0)),
     }
-    wide = copies(df).agg(*[m.cast("double").alias(k) for k, m in metrics.items()])
+    wide = groups.agg(*[m.cast("double").alias(k) for k, m in metrics.items()])
     return wide.unpivot([], list(metrics), "metric", "value").select(F.lit(name).alias("dataset"), "metric", "value")
 
 

@@ -3,6 +3,7 @@ from helpers import facts, flight, raw, rows
 from pyspark.sql import functions as F
 
 from runwaylens.operators import grouping, profile
+from runwaylens.sources.scratch import Workspace
 
 
 @pytest.fixture
@@ -117,11 +118,47 @@ def test_quartiles_of_awkward_columns(spark, value):
     assert [got.p25, got.p50, got.p75] == pytest.approx([round(w, 2) for w in want], abs=0.011)
 
 
-@pytest.mark.parametrize("value", ["1700000000 + id * 5", "id / 40000000.0"])
-def test_no_part_of_a_slice_holds_many_distinct_values(spark, value):
-    freq = profile.value_frequencies(spark.range(200_000).selectExpr(f"CAST({value} AS DOUBLE) AS v"), ["v"])
-    sliced = freq.withColumn("slice", profile._slice(F.col("value")))
-    spans = sliced.groupBy("slice").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
-    part = F.floor((F.col("value") - F.col("lo")) / (F.col("hi") - F.col("lo")) * profile.PARTS)
-    largest = sliced.join(spans, "slice").groupBy("slice", part).count().agg(F.max("count")).first()[0]
-    assert largest <= 0.01 * 200_000
+@pytest.mark.parametrize(
+    "value",
+    ["1700000000 + id * 5", "id / 40000000.0", "IF(id = 7, 1e300, 1700000000 + id * 1e-4)", "IF(id % 2 = 0, -id, id * 1000000)"],
+    ids=["epoch seconds", "share near zero", "cluster and one far outlier", "two scales"],
+)
+def test_ranges_follow_the_values(spark, value):
+    """Even parts, whatever the values; quartiles over many parts equal those of one."""
+    df = spark.range(40_000).selectExpr(f"CAST({value} AS DOUBLE) AS v", "CAST(id % 3 AS DOUBLE) AS w", "-id AS x").repartition(4)
+    with Workspace(spark, "ranges") as work:
+        freq = work.save(profile.value_frequencies(df, ["v", "w", "x"]), "frequencies")
+        ranged = profile.in_ranges(freq, work, part_values=2_000)
+        sizes = [r["count"] for r in ranged.groupBy("part").count().collect()]
+        assert len(sizes) > 30 and max(sizes) <= 3 * 2_000
+        many = {r.at: r for r in profile.frequency_stats(ranged).collect()}
+        one = {r.at: r for r in profile.frequency_stats(profile.in_ranges(freq, work)).collect()}
+    want = df.agg(*[F.percentile(c, [0.25, 0.5, 0.75]) for c in ("v", "w", "x")]).first()
+    for i in range(3):
+        assert many[i].q == pytest.approx(want[i]) and many[i].q == one[i].q
+        assert (many[i]["count"], many[i].min, many[i].max) == (one[i]["count"], one[i].min, one[i].max)
+        assert many[i].std == pytest.approx(one[i].std)
+
+
+def test_duplicates_by_digest_equal_whole_rows(spark):
+    """NULL and empty, shifted cells, zeros of both signs and NaN are told apart, or not, as whole rows are."""
+    cells = [None, "", "a", "ab", "b"]
+    table = [(x, y, z) for x in cells for y in cells for z in (None, 0.0, -0.0, float("nan"), 1.5)]
+    df = spark.createDataFrame(table + table[::3], "a string, b string, c double").withColumn("d", F.array("a", "b"))
+    whole = profile.copies(df).agg(F.sum("copies"), F.sum("copies") - F.count(F.lit(1))).first()
+    got = profile.duplicate_profile(df).first()
+    assert (got.rows, got.duplicates) == tuple(whole)
+    plan = profile.digest_copies(df)._jdf.queryExecution().executedPlan().toString()
+    shuffled = plan.split("Exchange")[1].split("\n")[0]
+    assert "digest_1" in shuffled and "a#" not in shuffled
+
+
+def test_describe_leaves_nothing_behind(spark, delays):
+    import os
+
+    from runwaylens.sources.scratch import shared_root
+
+    before = set(os.listdir(shared_root(spark).removeprefix("file:")))
+    assert profile.describe(delays, ["dep_delay"]).count() == 1
+    left = set(os.listdir(shared_root(spark).removeprefix("file:"))) - before
+    assert all(not os.listdir(f"{shared_root(spark).removeprefix('file:')}/{d}") for d in left)
