@@ -9,6 +9,7 @@ from pyspark.sql.window import Window
 from runwaylens.functions import flag_rate, mean_from, present
 from runwaylens.operators.joins import shared
 from runwaylens.schema import FLIGHT_ROLES, Roles
+from runwaylens.sources.scratch import stored
 
 
 def member_totals(df: DataFrame, roles: Roles = FLIGHT_ROLES) -> DataFrame:
@@ -119,30 +120,31 @@ def with_rank(df: DataFrame, ties: str = "rank") -> DataFrame:
     return df.withColumn("rank", place)
 
 
-def with_rank_split(df: DataFrame, slices: int = 256) -> DataFrame:
+def with_rank_split(df: DataFrame) -> DataFrame:
     """``with_rank`` for groups too large for one task.
 
-    Members with the same average, or with none, share a rank, so ranks are found for the
-    distinct averages of a group, with the number of members of each. These are ranked
-    inside slices of the range that the group's averages span; the members of all lower
-    slices are added as an offset. ``slices`` bounds the rows from which offsets are made.
+    Members with the same average, or with none, share a rank, so ranks are found for the distinct averages of a group,
+    with the number of members of each. Spark samples these and cuts them into ranges that hold about equally many, so
+    the parts are even however the averages lie; each is walked by itself and the members of the parts of the group
+    before it are added. The ranges are written to the shared folder, since the cuts must stay where they are. Offsets
+    have one row for each part and group that meet.
     """
     values = df.groupBy("origin", "avg_dep_delay").agg(F.count(F.lit(1)).alias("members"))
-    spans = values.groupBy("origin").agg(F.min("avg_dep_delay").alias("lo"), F.max("avg_dep_delay").alias("hi"))
-    share = F.try_divide(F.col("avg_dep_delay") - F.col("lo"), F.col("hi") - F.col("lo"))
-    place = F.when(F.col("avg_dep_delay").isNull(), -1).otherwise(F.coalesce(F.floor(share * slices), F.lit(0)))
-    sliced = values.join(spans, "origin").select("origin", "avg_dep_delay", "members", place.alias("slice"))
-    lower = Window.partitionBy("origin").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cut = values.repartitionByRange(parts, "origin", F.asc_nulls_first("avg_dep_delay"))
+    ranged = stored(cut.withColumn("part", F.spark_partition_id()), "rank-ranges")
+    lower = Window.partitionBy("origin").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        sliced.groupBy("origin", "slice")
+        ranged.groupBy("origin", "part")
         .agg(F.sum("members").alias("n"))
-        .select("origin", "slice", F.coalesce(F.sum("n").over(lower), F.lit(0)).alias("offset"))
+        .select("origin", "part", F.coalesce(F.sum("n").over(lower), F.lit(0)).alias("offset"))
     )
-    before = Window.partitionBy("origin", "slice").orderBy("avg_dep_delay").rowsBetween(Window.unboundedPreceding, -1)
+    order = F.asc_nulls_first("avg_dep_delay")
+    before = Window.partitionBy("origin", "part").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     inside = F.coalesce(F.sum("members").over(before), F.lit(0))
     ranks = (
-        sliced.withColumn("inside", inside)
-        .join(offsets, ["origin", "slice"])
+        ranged.withColumn("inside", inside)
+        .join(offsets, ["origin", "part"])
         .select(
             F.col("origin").alias("r_origin"),
             F.col("avg_dep_delay").alias("r_avg"),

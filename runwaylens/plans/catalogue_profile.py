@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from runwaylens.operators.full_profile import full_profile
 from runwaylens.operators import cleaning, profile
 from runwaylens.plans.catalogue_cleaning import describe_sql
 from runwaylens.plans.oracle import missing, over, rounded
-from runwaylens.plans.registry import query
+from runwaylens.plans.registry import SQL, query
 from runwaylens.schema import FACT_COLUMNS, MONTH_LABELS, NUMBER_COLUMNS
 from runwaylens.sources.readers import normalise_missing
 from runwaylens.sources.testviews import flights, raw_flights, table
@@ -285,3 +286,16 @@ def _metrics(source: str) -> str:
 def _(spark, sf):
     raw = normalise_missing(raw_flights(spark, sf))
     return profile.before_after(raw, cleaning.clean_facts(raw))
+
+
+def _shared(name: str, part: str, single: str) -> None:
+    """A table of the profile of three scans; the SQL is that of the single figure."""
+
+    @query(name, SQL[single])
+    def _(spark, sf):
+        return full_profile(flights(spark, sf))[part]
+
+
+_shared("shared_profile_nulls", "nulls", "null_profile")
+_shared("shared_profile_histogram", "histogram", "delay_histogram")
+_shared("shared_profile_top_by_delay", "top_by_delay", "top20_airports_by_delay")

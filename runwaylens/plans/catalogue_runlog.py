@@ -8,6 +8,8 @@ from runwaylens.operators import profile, runlog
 from runwaylens.plans.oracle import over, rounded
 from runwaylens.plans.registry import query
 from runwaylens.schema import RUN_KEY
+from runwaylens.sources.scratch import new_folder
+from runwaylens.sources.versioned import current_path, current_version, replace_table
 from runwaylens.sources.readers import with_run_order
 from runwaylens.sources.testviews import runs
 
@@ -240,10 +242,34 @@ UPSERTED = """
 @query("runlog_upsert", over("runs", UPSERTED, updates=UPDATES))
 def _(spark, sf):
     old = log(spark, sf).select("timestamp", *RUN_KEY, "elapsed_sec")
-    new = (
+    return runlog.upsert(old, later_runs(old)).drop("timestamp")
+
+
+def later_runs(old):
+    """Newer runs of some of the keys, and runs in an environment of their own."""
+    return (
         old.where(F.col("technology").isin("tech_1", "tech_2"))
         .withColumn("timestamp", F.col("timestamp") + F.expr("INTERVAL 1 DAY"))
         .withColumn("elapsed_sec", F.col("elapsed_sec") + 1)
         .withColumn("environment", F.when(F.col("technology") == "tech_2", "cloud").otherwise(F.col("environment")))
     )
-    return runlog.upsert(old, new).drop("timestamp")
+
+
+SAVED = f"SELECT analysis, technology, environment, input_file, elapsed_sec FROM ({UPSERTED})"
+
+
+@query("runlog_saved_in_place", over("runs", SAVED, updates=UPDATES))
+def _(spark, sf):
+    """The log is saved, and the log with newer runs is saved onto it twice."""
+    table = new_folder(spark, "run-log")
+
+    def write(rows, path):
+        rows.write.parquet(path)
+
+    first = log(spark, sf).select("timestamp", *RUN_KEY, "elapsed_sec")
+    replace_table(spark, table, first, write)
+    for _ in range(2):
+        version = current_version(spark, table)
+        old = spark.read.parquet(current_path(spark, table))
+        replace_table(spark, table, runlog.upsert(old, later_runs(first)).drop("action"), write, version)
+    return spark.read.parquet(current_path(spark, table)).drop("timestamp")

@@ -1,9 +1,13 @@
+import os
+
 import pytest
 from helpers import facts, flight, rows
 from pyspark.sql import functions as F
 
+from runwaylens.operators import ranking
 from runwaylens.plans import reports
 from runwaylens.schema import Roles
+from runwaylens.sources.scratch import shared_root
 
 
 def test_months_are_sorted_as_numbers(spark):
@@ -153,3 +157,18 @@ def test_roles_fit_another_table(spark):
     assert rows(reports.carrier_ranking(sales, roles).select("carrier", "rank")) == [("shop1", 1), ("shop2", 2)]
     assert {r.top_cause_1 for r in reports.delay_report(sales, roles).collect()} == {"traffic"}
     assert {r.months_active for r in reports.airline_stats(sales, roles).collect()} == {"3"}
+
+
+def test_wide_ranks_spread_clustered_averages(spark):
+    """Averages that lie close together beside a far one: the ranges hold about equally many of them."""
+    df = spark.range(20_000).selectExpr(
+        "IF(id % 4 = 0, 'JFK', 'LAX') AS origin", "CAST(id AS STRING) AS carrier",
+        "CASE WHEN id = 5 THEN 1e12 WHEN id % 50 = 0 THEN NULL ELSE 100 + (id % 9000) * 1e-6 END AS avg_dep_delay",
+    )
+    got = ranking.with_rank_split(df).select("carrier", "rank").collect()
+    want = ranking.with_rank(df).select("carrier", "rank").collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+    root = shared_root(spark).removeprefix("file:")
+    newest = max((d for d in os.listdir(root) if d.startswith("rank-ranges")), key=lambda d: os.path.getmtime(f"{root}/{d}"))
+    sizes = [r["count"] for r in spark.read.parquet(f"{root}/{newest}").groupBy("part").count().collect()]
+    assert len(sizes) >= 4 and max(sizes) < 3 * sum(sizes) / len(sizes)
