@@ -1,10 +1,11 @@
 """Balanced label propagation: linked documents move into one shard, and shards stay even.
 
-Documents are linked when their texts are equal (or by any other group columns). Every document starts in the shard
-of its hash. In each round the members of a group that sit in other shards ask to move where most of the group is;
-a shard admits them by priority as far as its quota has room. Groups larger than a part of a shard are split first.
-Documents without links fill the room that is left. Last, all documents are numbered shard by shard and the numbers
-are cut into equal runs, which makes the row counts exact; the cuts fall among documents without links.
+Documents are linked when their texts are equal. Every document starts in the shard of its hash. In each round the
+groups that have no shard yet ask for one: the shard that holds most of their members, of those with room for all of
+them, else any with room. Shards admit the largest groups first, as far as their quota goes; the others ask again,
+until nothing moves. Groups larger than a quota are split into as few parts as quotas allow. Documents without links
+fill the room that is left. Last, all documents are numbered shard by shard and the numbers are cut into equal runs,
+which makes the row counts exact; the cuts fall among documents without links where there are any.
 """
 
 from __future__ import annotations
@@ -16,88 +17,167 @@ from runwaylens.llm.common import size_bytes
 from runwaylens.sources.scratch import Workspace
 
 SHARDS = 40
-ROUNDS = 3
-# A group that exceeds this part of a shard is split into parts of that size.
-PART = 8
-# Priorities among which a shard's admission is cut, and cells of a shard in the final order.
+# Groups move in every round, or the rounds end; this many are never needed where groups fit well.
+ROUNDS = 40
+# Groups of about one size that a shard admits together, and cells of a shard in the final order.
 PRIORITIES = 64
 CELLS = 64
+GROUP = ["__g1", "__g2"]
+PLACE = ["__to", "__kind", "__c1", "__c2", "__sub"]
 
 
 def equal_text_key() -> list[Column]:
     return [F.xxhash64("text").alias("__g1"), F.coalesce(F.crc32("text"), F.lit(-1)).alias("__g2")]
 
 
-def shard(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS, work: Workspace | None = None) -> DataFrame:
-    """Every row and column of ``docs`` with ``shard`` (0 to shards - 1) and ``slot`` (from 0 without gaps).
+def shard(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
+    """Every row and column of ``docs`` with ``shard`` (int, 0 to shards - 1) and ``slot`` (long, from 0 without gaps).
 
     Law `rows`: the counts of any two shards differ by one at most. Equal texts share a shard as far as they fit;
     NULL texts count as equal to each other, empty ones too. Rows that repeat a doc_id are rows of their own. Columns
     named shard or slot are replaced. The outcome hangs on the rows alone. An empty table gives an empty result.
     """
-    spark = docs.sparkSession
     plain = docs.drop("shard", "slot")
-    start = F.pmod(F.xxhash64("doc_id", "__g1", F.lit(1)), F.lit(shards)).cast("int")
-    keyed = plain.select("*", *equal_text_key()).withColumn("__start", start)
-    with Workspace(spark, "sharding") as work:
-        base = work.save(keyed.select("doc_id", "__g1", "__g2", "__start"), "base")
+    keyed = plain.select(F.struct("*").alias("__row"), F.col("doc_id").alias("__id"), *equal_text_key())
+    with Workspace(docs.sparkSession, "sharding") as work:
+        base = work.save(keyed.select("__id", *GROUP, start_of("__id", shards).alias("__start")), "base")
         total = base.count()
         quota = max(1, -(-total // shards))
-        sizes = base.groupBy("__g1", "__g2").agg(F.count("*").alias("n"))
-        sizes = work.save(sizes.filter("n > 1").withColumn("__parts", F.ceil(F.col("n") * PART / quota).cast("int")), "sizes")
-        # Members that start in one shard move together: their number is all that the rounds need.
-        linked = base.join(sizes.drop("n"), ["__g1", "__g2"]).withColumn("__sub", _part())
-        state = linked.groupBy("__g1", "__g2", "__sub", "__start").agg(F.count("*").alias("c"))
-        state = work.save(state.withColumn("label", F.col("__start")), "state0")
-        for r in range(1, rounds + 1):
-            state = work.save(_round(state, shards, quota), f"state{r}")
-            work.drop(f"state{r - 1}")
-        load = {x.label: x.c for x in state.groupBy("label").agg(F.sum("c").alias("c")).collect()}
-        places = work.save(state.select("__g1", "__g2", "__sub", "__start", F.col("label").alias("__label")), "places")
+        groups = group_votes(base, quota)
+        placed, load = propagated(work.save(groups, "open0"), shards, quota, rounds, work)
+        places = placed.groupBy(*GROUP).agg(
+            F.map_from_entries(F.collect_list(F.struct("__part", "label"))).alias("__labels"), F.sum("n").alias("__n")
+        )
+        places = work.save(places, "places")
         work.keep("places")
-        groups = work.save(sizes.select("__g1", "__g2", "__parts"), "groups")
-        work.keep("groups")
-        room = [max(0, quota - load.get(j, 0)) for j in range(shards)]
-
-        def placed(df: DataFrame) -> DataFrame:
-            """Rows with their label and cell; cells 0.. and 2 * CELLS.. hold documents without links."""
-            known = df.join(groups, ["__g1", "__g2"], "left").withColumn("__sub", _part())
-            known = known.join(places, ["__g1", "__g2", "__sub", "__start"], "left")
-            own = F.pmod(F.xxhash64("__g1", "__g2", F.lit(2)), F.lit(CELLS))
-            h = F.pmod(F.xxhash64("doc_id", "__g1", F.lit(3)), F.lit(2 * CELLS))
-            cell = F.when(F.col("__label").isNotNull(), CELLS + own).otherwise(F.when(h < CELLS, h).otherwise(h + CELLS))
-            label = F.coalesce("__label", _share(room))
-            return known.withColumns({"__cell": cell.cast("int"), "__to": label})
-
-        counts = placed(base).groupBy("__to", "__cell").agg(F.count("*").alias("c"))
-        # One row for each cell of a shard, however many documents there are.
-        before = F.sum("c").over(Window.orderBy("__to", "__cell").rowsBetween(Window.unboundedPreceding, -1))
-        offsets = counts.select("__to", "__cell", F.coalesce(before, F.lit(0)).alias("__before"))
-        offsets = work.save(offsets, "offsets")
+        room = [max(0, quota - load[j]) for j in range(shards)]
+
+        def located(df: DataFrame) -> DataFrame:
+            """Rows with the shard they go to and their cell: documents without links first and last."""
+            known = df.join(places, GROUP, "left")
+            label = F.element_at("__labels", part_of("__id", F.size("__labels")))
+            linked, large = F.col("__n").isNotNull(), F.col("__n") > quota // CELLS
+            h = F.pmod(F.xxhash64("__id", "__g1", F.lit(3)), F.lit(2 * CELLS))
+            own = F.pmod(F.xxhash64(*GROUP, F.lit(2)), F.lit(CELLS))
+            spread = F.pmod(F.xxhash64("__id", F.lit(7)), F.lit(CELLS))
+            # A large group is a cell by itself, spread over sub-cells; a shard holds fewer than CELLS of them.
+            columns = {
+                "__to": F.coalesce(label, _share(room)),
+                "__kind": F.when(~linked, F.when(h < CELLS, 0).otherwise(3)).when(large, 2).otherwise(1),
+                "__c1": F.when(~linked, h).when(large, F.col("__g1")).otherwise(own),
+                "__c2": F.when(linked & large, F.col("__g2")).otherwise(F.lit(0)).cast("long"),
+                "__sub": F.when(linked & ~large, 0).otherwise(spread),
+            }
+            return known.withColumns(columns)
+
+        counts = located(base).groupBy(*PLACE).agg(F.count("*").alias("c"))
+        # A bounded number of rows for each shard, however many documents there are.
+        before = F.sum("c").over(Window.orderBy(*PLACE).rowsBetween(Window.unboundedPreceding, -1))
+        offsets = work.save(counts.select(*PLACE, F.coalesce(before, F.lit(0)).alias("__before")), "offsets")
         work.keep("offsets")
-    in_cell = Window.partitionBy("__to", "__cell").orderBy("__g1", "__g2", "__sub", "doc_id")
-    numbered = placed(keyed).withColumn("__in", F.row_number().over(in_cell) - 1)
-    numbered = numbered.join(offsets, ["__to", "__cell"]).withColumn("__at", F.col("__before") + F.col("__in"))
-    small, large = divmod(total, shards)
-    edge = large * (small + 1)
+    in_cell = Window.partitionBy(*PLACE).orderBy(*GROUP, "__id")
+    numbered = located(keyed).withColumn("__in", F.row_number().over(in_cell) - 1).join(offsets, PLACE)
+    numbered = numbered.withColumn("__at", F.col("__before") + F.col("__in"))
+    small, large_runs = divmod(total, shards)
+    edge = large_runs * (small + 1)
     at = F.col("__at")
     in_large = at < edge
-    number = F.when(in_large, F.floor(at / (small + 1))).otherwise(large + F.floor((at - edge) / max(1, small)))
+    number = F.when(in_large, F.floor(at / (small + 1))).otherwise(large_runs + F.floor((at - edge) / max(1, small)))
     slot = F.when(in_large, at % (small + 1)).otherwise((at - edge) % max(1, small))
-    return numbered.select(
-        *[F.col(f"`{c}`") for c in plain.columns], number.cast("int").alias("shard"), slot.cast("int").alias("slot")
+    columns = [F.col(f"__row.`{c}`").alias(c) for c in plain.columns]
+    return numbered.select(*columns, number.cast("int").alias("shard"), slot.cast("long").alias("slot"))
+
+
+def start_of(key: str, shards: int) -> Column:
+    """The shard in which a document starts."""
+    return F.pmod(F.xxhash64(key, "__g1", F.lit(1)), F.lit(shards)).cast("int")
+
+
+def part_of(key: str, parts: Column) -> Column:
+    """The part of its group, from 0, that a document belongs to."""
+    return F.pmod(F.xxhash64(key, F.lit(4)), parts).cast("int")
+
+
+def group_votes(base: DataFrame, quota: int) -> DataFrame:
+    """One row for each group of two rows or more, or part of a split group: its size ``n`` and ``votes``.
+
+    ``votes`` holds the members in each starting shard. Members that start in one shard are counted before they are
+    shuffled, so a text that a third of all rows share is a few rows.
+    """
+    sizes = base.groupBy(*GROUP).agg(F.count("*").alias("size")).filter("size > 1")
+    parts = F.ceil(F.col("size") / F.lit(quota)).cast("int")
+    members = base.join(sizes.select(*GROUP, parts.alias("parts")), GROUP)
+    members = members.withColumn("__part", part_of("__id", F.col("parts")))
+    starts = members.groupBy(*GROUP, "__part", "__start").agg(F.count("*").alias("c"))
+    return starts.groupBy(*GROUP, "__part").agg(
+        F.sum("c").alias("n"), F.collect_list(F.struct("c", F.col("__start").alias("shard"))).alias("votes")
     )
 
 
-def _part() -> Column:
-    """The part of a split group that a document belongs to."""
-    return F.when(F.col("__parts") > 1, F.pmod(F.xxhash64("doc_id", F.lit(4)), F.col("__parts"))).otherwise(0).cast("int")
+def propagated(groups: DataFrame, shards: int, quota: int, rounds: int, work: Workspace) -> tuple[DataFrame, list[int]]:
+    """(groups with ``label``, rows placed in each shard) after rounds of asking and admitting."""
+    load, placed, step = [0] * shards, [], 0
+    waiting = groups
+    while step < rounds:
+        step += 1
+        asked = waiting.withColumn("wanted", wanted([quota - x for x in load], step)).filter("wanted is not null")
+        admitted = work.save(_admitted(asked, [quota - x for x in load]), f"placed{step}")
+        gained = {r.label: r.n for r in admitted.groupBy("label").agg(F.sum("n").alias("n")).collect()}
+        if not gained:
+            work.drop(f"placed{step}")
+            break
+        load = [x + gained.get(j, 0) for j, x in enumerate(load)]
+        placed.append(admitted)
+        rest = waiting.join(admitted.select(*GROUP, "__part"), [*GROUP, "__part"], "left_anti")
+        waiting = work.save(rest, f"open{step}")
+        work.drop(f"open{step - 1}")
+    # What fits nowhere whole goes where most room is left; the final cut into equal runs divides it.
+    room = [max(0, quota - x) for x in load]
+    roomiest = F.array(*[F.lit(j) for j in sorted(range(shards), key=lambda j: -room[j])])
+    number = F.pmod(F.xxhash64(*GROUP, "__part"), F.lit(max(1, sum(r > 0 for r in room)))).cast("int")
+    out = waiting.select(*GROUP, "__part", "n", F.get(roomiest, number).alias("label"))
+    for part in placed:
+        out = out.unionByName(part)
+    return out, load
+
+
+def wanted(room: list[int], step: int) -> Column:
+    """The shard a group asks for: that of most of its members with room for all, else one of those with room.
+
+    NULL where no shard has room for the group.
+    """
+    rooms = F.array(*[F.lit(r) for r in room])
+    fitting = F.filter("votes", lambda v: F.get(rooms, v["shard"]) >= F.col("n"))
+    best = F.array_max(F.transform(fitting, lambda v: F.struct(v["c"], F.xxhash64(*GROUP, v["shard"], F.lit(step)), v["shard"].alias("shard"))))
+    others = F.filter(F.sequence(F.lit(0), F.lit(len(room) - 1)), lambda j: F.get(rooms, j) >= F.col("n"))
+    some = F.get(others, F.pmod(F.xxhash64(*GROUP, "__part", F.lit(step)), F.size(others)).cast("int"))
+    return F.coalesce(best["shard"], F.when(F.size(others) > 0, some)).cast("int")
+
+
+def _admitted(asked: DataFrame, room: list[int]) -> DataFrame:
+    """The groups that shards take, largest first; groups of about one size are told apart by a hash."""
+    octave = F.floor(F.log2(F.col("n").cast("double"))).cast("int")
+    priority = (64 - octave) * PRIORITIES + F.pmod(F.xxhash64(*GROUP, "__part", F.lit(6)), F.lit(PRIORITIES))
+    keyed = asked.withColumn("priority", priority)
+    classes = keyed.groupBy("wanted", "priority").agg(F.sum("n").alias("rows"), F.max(F.struct("n", *GROUP, "__part")).alias("head"))
+    # At most 64 rows for each octave of sizes and shard. Of the first class that is too large its head may go.
+    upto = F.sum("rows").over(Window.partitionBy("wanted").orderBy("priority"))
+    free = F.get(F.array(*[F.lit(r) for r in room]), F.col("wanted"))
+    judged = classes.withColumns({"before": upto - F.col("rows"), "free": free})
+    whole = F.col("before") + F.col("rows") <= F.col("free")
+    over = F.sum(F.when(whole, 0).otherwise(1)).over(Window.partitionBy("wanted").orderBy("priority"))
+    judged = judged.withColumn("over", over)
+    head_fits = (F.col("over") == 1) & ~whole & (F.col("before") + F.col("head.n") <= F.col("free"))
+    judged = judged.select("wanted", "priority", ((F.col("over") == 0) & whole).alias("all_in"), head_fits.alias("head_in"), "head")
+    taken = keyed.join(judged.filter("all_in or head_in"), ["wanted", "priority"])
+    mine = F.struct("n", *GROUP, "__part") == F.col("head")
+    return taken.filter(F.col("all_in") | mine).select(*GROUP, "__part", "n", F.col("wanted").alias("label"))
 
 
 def _share(room: list[int]) -> Column:
     """A shard for a document without links: shards are drawn by the room that they have left."""
     total = sum(room) or 1
-    drawn = F.pmod(F.xxhash64("doc_id", "__g1", F.lit(5)), F.lit(total))
+    drawn = F.pmod(F.xxhash64("__id", "__g1", F.lit(5)), F.lit(total))
     ends, so_far = [], 0
     for r in room:
         so_far += r
@@ -106,33 +186,6 @@ def _share(room: list[int]) -> Column:
     return F.least(F.size(F.filter(bounds, lambda e: e <= drawn)), F.lit(len(room) - 1)).cast("int")
 
 
-def _round(state: DataFrame, shards: int, quota: int) -> DataFrame:
-    """One round: members move to where most of their group is, as far as the quotas allow."""
-    group = ["__g1", "__g2", "__sub"]
-    here = state.groupBy(*group, "label").agg(F.sum("c").alias("c"))
-    best = here.groupBy(*group).agg(F.max(F.struct("c", F.pmod(F.xxhash64(*group, "label"), F.lit(1 << 20)), "label"))["label"].alias("wanted"))
-    asked = state.join(best, group)
-    priority = F.pmod(F.xxhash64(*group, F.lit(6)), F.lit(PRIORITIES))
-    asked = asked.withColumn("priority", F.when(F.col("label") != F.col("wanted"), priority))
-    # Members that ask to leave make room for those that ask to come; what then does not fit is cut at the end.
-    staying = asked.groupBy(F.col("label").alias("wanted")).agg(
-        F.sum(F.when(F.col("priority").isNull(), F.col("c")).otherwise(0)).alias("staying")
-    )
-    moving = asked.filter("priority is not null").groupBy("wanted", "priority").agg(F.sum("c").alias("c"))
-    # PRIORITIES rows for each shard, whatever the number of documents.
-    upto = F.sum("c").over(Window.partitionBy("wanted").orderBy("priority"))
-    admitted = (
-        moving.withColumn("upto", upto)
-        .join(staying, "wanted", "left")
-        .filter(F.col("upto") + F.coalesce("staying", F.lit(0)) <= quota)
-        .groupBy("wanted")
-        .agg(F.max("priority").alias("last"))
-    )
-    moved = asked.join(F.broadcast(admitted), "wanted", "left")
-    label = F.when(F.col("priority") <= F.col("last"), F.col("wanted")).otherwise(F.col("label"))
-    return moved.select(*group, "__start", "c", label.alias("label"))
-
-
 def cut_links(sharded: DataFrame) -> DataFrame:
     """(linked, cut): documents that share their text with another, and those of them outside the largest part."""
     parts = sharded.groupBy(*equal_text_key(), "shard").agg(F.count("*").alias("c"))

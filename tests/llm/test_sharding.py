@@ -1,7 +1,10 @@
+import random
 from collections import Counter, defaultdict
 
-from text_cases import SF01, docs, odd_rows
+from text_cases import SF01, SF001, docs, odd_rows
 
+from runwaylens.llm import sharding
+from runwaylens.llm.q10_sharding import op10_label_propagation_shards
 from runwaylens.llm.sharding import cut_links, shard
 
 
@@ -50,3 +53,51 @@ def test_odd_rows_empty_tables_and_clashing_columns(spark):
     assert sorted(out.columns) == sorted({*df.columns, "slot"})
     assert shard(df.limit(0)).count() == 0
     held(shard(df, shards=40).collect(), len(odd_rows()), 40)
+
+
+def test_slots_are_long_and_shards_int(spark):
+    out = op10_label_propagation_shards(spark, SF001)
+    types = dict(out.dtypes)
+    assert (types["slot"], types["shard"], types["size"], types["text_crc32"], types["grown_shard"]) == ("bigint", "int", "bigint", "bigint", "int")
+
+
+def test_groups_that_fit_are_not_cut(spark):
+    """80 groups of 50 rows fill 20 shards of 200 to the last place; groups of 6 and 4 of few rows stay whole."""
+    out = shard(docs(spark, [(i, f"group {i // 50}") for i in range(4000)]), shards=20)
+    held(out.collect(), 4000, 20)
+    assert cut_links(out).first().cut <= 0.05 * 4000
+    mixed = [(i, f"six {i // 6}") for i in range(600)] + [(i, f"one {i}") for i in range(600, 1200)]
+    out = shard(docs(spark, mixed), shards=40)
+    held(out.collect(), 1200, 40)
+    assert cut_links(out).first().cut <= 0.05 * 600
+
+
+def test_a_group_above_a_quota_is_split_into_few_parts(spark):
+    out = shard(docs(spark, [(i, "hot") for i in range(500)] + [(i, f"one {i}") for i in range(500, 2000)]), shards=10)
+    held(out.collect(), 2000, 10)
+    assert len({r.shard for r in out.filter("text = 'hot'").collect()}) <= 6
+
+
+def test_one_round_equals_brute_force(spark):
+    """What groups ask for and which are admitted, worked out by hand from the same votes."""
+    room, rng = [30, 0, 12, 25], random.Random(9)
+    rows = []
+    for g in range(60):
+        votes = [(rng.randint(1, 4), j) for j in sorted(rng.sample(range(4), rng.randint(1, 4)))]
+        rows.append((g, -g, 0, sum(c for c, _ in votes), votes))
+    table = spark.createDataFrame(rows, "__g1 long, __g2 long, __part int, n long, votes array<struct<c:long,shard:int>>")
+    asked = table.withColumn("wanted", sharding.wanted(room, 1)).collect()
+    for r in asked:
+        fitting = [v for v in r.votes if room[v.shard] >= r.n]
+        if fitting:
+            assert r.wanted in {v.shard for v in fitting if v.c == max(x.c for x in fitting)}
+        else:
+            others = [j for j in range(4) if room[j] >= r.n]
+            assert r.wanted in others if others else r.wanted is None
+    got = sharding._admitted(spark.createDataFrame(asked, "__g1 long, __g2 long, __part int, n long, votes array<struct<c:long,shard:int>>, wanted int").filter("wanted is not null"), room).collect()
+    for j in range(4):
+        mine, taken = [r for r in asked if r.wanted == j], [r for r in got if r.label == j]
+        assert sum(r.n for r in taken) <= room[j]
+        if mine:
+            # The largest octave comes first: its first class, or the head of it, always fits.
+            assert taken and max(r.n.bit_length() for r in taken) == max(r.n.bit_length() for r in mine)
