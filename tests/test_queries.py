@@ -20,6 +20,7 @@ SAME_TYPE = {
     "timestamp": "TIMESTAMP",
     "timestamp_ntz": "TIMESTAMP",
     "array<int>": "INTEGER[]",
+    "date": "DATE",
 }
 
 
