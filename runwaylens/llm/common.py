@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -10,6 +12,8 @@ from pyspark.sql import functions as F
 
 # Words are runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
+# Rows that a Python worker turns into lists and strings at once.
+SMALL_BATCH = 256
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,6 +48,21 @@ def map_batches(df: DataFrame, make: Callable[[pa.RecordBatch], pa.RecordBatch],
     return df.mapInArrow(run, schema)
 
 
+def small_batches(batches: Iterator[pa.RecordBatch], rows: int = SMALL_BATCH) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of few rows, so that what is made of many long texts is never held at once.
+
+    At the end of the task the worker gives its free memory back: later stages run in the same processes.
+    """
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def size_bytes(text: Column) -> Column:
     """UTF-8 bytes of a text; 0 for NULL."""
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long")

@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from runwaylens.llm.common import small_batches
+
 # ASCII letters are lower-cased; every other ASCII sign than a letter or digit parts words.
 _MAP = bytes(
     c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256)
@@ -213,7 +215,7 @@ def scan(
 
         def run(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
             automaton = _automaton(block)
-            for batch in batches:
+            for batch in small_batches(batches):
                 hits = []
                 at, last = batch.schema.get_field_index("text"), batch.num_columns - 1
                 for text, old in zip(batch.column(at).to_pylist(), batch.column(last).to_pylist()):
@@ -263,7 +265,7 @@ def decontaminate(
     slim = kept.select(*columns, F.col("__hits.spans").cast(spans_type).alias("__spans"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             at = batch.schema.get_field_index("text")
             texts = batch.column(at).to_pylist()
             for i, spans in enumerate(batch.column(batch.num_columns - 1).to_pylist()):

@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from runwaylens.llm.common import WORD, small_batches
 from runwaylens.sources.scratch import Workspace
 
 SHINGLE = 5
@@ -84,7 +85,7 @@ def with_sketches(docs: DataFrame, n: int = SHINGLE, k: int = K) -> DataFrame:
     """Every row with ``__n`` (shingles), ``__cls`` (128-bit digest of the set; NULL if empty) and ``__sketch``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             sets = [shingle_set(t.as_py(), n) for t in batch.column(batch.schema.get_field_index("text"))]
             more = {
                 "__n": pa.array([len(s) for s in sets], pa.int64()),
@@ -300,7 +301,7 @@ def _shared(left: list[np.ndarray], right: list[np.ndarray], columns: int = 8192
 def group_near_duplicates(
     docs: DataFrame, percent: int = 80, n: int = SHINGLE, k: int = K, id_col: str = "doc_id"
 ) -> DataFrame:
-    """(id, cls, root, n_shingles, component_id) for every row of ``docs``, by its ``text``.
+    """(id, cls, root, n_shingles, component_id, text_hash) for every row of ``docs``, by its ``text``.
 
     Rows are linked when their shingle sets have 100 * intersection >= percent * union; component_id is the smallest
     id that links reach. Links are confirmed on full sets; a link is missed with a probability below 1e-9 at each
@@ -310,10 +311,10 @@ def group_near_duplicates(
     """
     similarity = percent / 100
     spark = docs.sparkSession
-    base = docs.select(F.col(id_col).alias("id"), F.col("text"))
+    base = docs.select(F.col(id_col).alias("id"), F.col("text"), F.xxhash64("text").alias("text_hash"))
     with Workspace(spark, "near-dup") as work:
         light = work.save(
-            with_sketches(base, n, k).select("id", F.col("__cls").alias("cls"), F.col("__n").alias("n"), F.col("__sketch").alias("sketch")),
+            with_sketches(base, n, k).select("id", "text_hash", F.col("__cls").alias("cls"), F.col("__n").alias("n"), F.col("__sketch").alias("sketch")),
             "light",
         )
         work.keep("light")
@@ -357,11 +358,10 @@ def group_near_duplicates(
         best = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
         named = work.save(rooted.join(best, "root").select("cls", "root", "component_id"), "named")
         work.keep("named")
-    alone = light.filter("cls is null").select("id", "cls", F.col("cls").alias("root"), "n", F.col("id").alias("component_id"))
-    grouped = light.filter("cls is not null").join(named, "cls").select("id", "cls", "root", "n", "component_id")
-    return grouped.unionByName(alone).select(
-        F.col("id").alias(id_col), "cls", "root", F.col("n").alias("n_shingles"), "component_id"
-    )
+    alone = light.filter("cls is null").withColumns({"root": F.col("cls"), "component_id": F.col("id")})
+    grouped = light.filter("cls is not null").join(named, "cls")
+    figures = [F.col("id").alias(id_col), "cls", "root", F.col("n").alias("n_shingles"), "component_id", "text_hash"]
+    return grouped.select(*figures).unionByName(alone.select(*figures))
 
 
 def _sets(base: DataFrame, holder: DataFrame, n: int) -> DataFrame:
@@ -370,7 +370,7 @@ def _sets(base: DataFrame, holder: DataFrame, n: int) -> DataFrame:
     texts = base.join(ids, F.col("id").eqNullSafe(F.col("wanted")), "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             sets = [shingle_set(t.as_py(), n) for t in batch.column(0)]
             classes = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays([pa.array(classes, pa.binary()), _lists(sets)], names=["cls", "shingles"])
@@ -389,17 +389,16 @@ def drop_near_duplicates(docs: DataFrame, percent: int = 80, n: int = SHINGLE, k
     chosen = (
         groups.filter(F.col("cls").isNotNull() & F.col("doc_id").eqNullSafe(F.col("component_id")))
         .groupBy("root")
-        .agg(F.min("doc_id").alias("__id"), F.min("cls").alias("__kept"))
-        .drop("root")
+        .agg(F.min(F.struct("doc_id", "text_hash")).alias("kept"))
+        .select("kept")
     )
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [shingle_set(t.as_py(), n) for t in batch.column(batch.schema.get_field_index("text"))]
-            classes = pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns, classes], names=[*batch.schema.names, "__cls"])
-
-    marked = docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("__cls", T.BinaryType())]))
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__cls") == F.col("__kept"))
-    stay = marked.filter("__cls is not null").join(chosen, same, "left_semi").dropDuplicates(["__cls", "doc_id"])
-    return stay.unionByName(marked.filter("__cls is null")).select(*docs.columns)
+    # The texts are not cut into words again: a row is known by its id and the hash of its text.
+    rows = docs.select(
+        F.struct("*").alias("row"),
+        F.col("doc_id").alias("id"),
+        F.xxhash64("text").alias("hash"),
+        F.coalesce(F.col("text").rlike(WORD), F.lit(False)).alias("has_word"),
+    )
+    same = F.col("id").eqNullSafe(F.col("kept.doc_id")) & (F.col("hash") == F.col("kept.text_hash"))
+    stay = rows.filter("has_word").join(chosen, same, "left_semi").dropDuplicates(["id", "hash"])
+    return stay.unionByName(rows.filter(~F.col("has_word"))).select("row.*")

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from runwaylens.llm.common import learnable
+from runwaylens.llm.common import learnable, small_batches
 from runwaylens.sources.scratch import Workspace
 
 SPAN = 6
@@ -42,6 +42,8 @@ LOW = -2.0
 # Texts whose new words are judged together.
 CHUNK = 200
 MANY = 5000
+# Texts that a worker holds as strings at once.
+TEXTS = 1000
 _STEPS = [(a, b) for a in range(1, SPAN - 1) for b in range(1, SPAN - a)]
 _SENTENCE = re.compile(r"[.!?\n]+")
 _START, _END = 1, 2
@@ -323,7 +325,7 @@ def _worst(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = Judge(model)
-        for batch in batches:
+        for batch in small_batches(batches, TEXTS):
             at = batch.schema.get_field_index("text")
             values = judge.worst(batch.column(at).to_pylist())
             rest = [i for i in range(batch.num_columns) if i != at]
@@ -351,7 +353,7 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = Judge(model)
-        for batch in batches:
+        for batch in small_batches(batches, TEXTS):
             texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
             values = pa.array(model.probability(judge.worst(texts)))
             yield pa.RecordBatch.from_arrays([*batch.columns, values], names=[*batch.schema.names, "toxicity"])
