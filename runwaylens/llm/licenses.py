@@ -128,14 +128,15 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, contained: fl
         anchored = anchored | low.contains(word)
     nothing = F.array().cast("array<string>")
     # Texts without an anchor cannot match and are not cut into words.
-    out = plain.withColumn("__words", F.when(F.coalesce(anchored, F.lit(False)), words_column(F.col("text"))).otherwise(nothing))
-    out = out.withColumn("__h", shingles_column(F.col("__words")))
+    cut = F.when(F.coalesce(anchored, F.lit(False)), words_column(F.col("text"))).otherwise(nothing)
+    out = _settled(plain.select(F.struct("*").alias("row"), cut.alias("__words")))
+    out = _settled(out.select("row", "__words", shingles_column(F.col("__words")).alias("__h")))
     within = lambda values: lambda x: x.isin(values)
     retrieved = F.exists("__h", within(narrow)) if narrow else F.lit(False)
     for seed, values in bands.items():
         if values:
             retrieved = retrieved | F.exists(signatures_column(F.col("__h"), seed, WINDOW), within(values))
-    out = out.withColumn("__distinct", F.when(retrieved, F.array_distinct("__h")))
+    out = _settled(out.select("row", "__words", F.when(retrieved, F.array_distinct("__h")).alias("__distinct")))
     found = []
     for r in made:
         if r.h:
@@ -145,4 +146,15 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, contained: fl
     text = F.concat(F.lit(" "), F.array_join("__words", " "), F.lit(" "))
     for name, phrase in phrases.items():
         found.append(F.when(text.contains(f" {phrase} "), F.struct(F.lit(name).alias("name"), F.lit(1.0).alias("containment"))))
-    return out.withColumn("licenses", F.array_sort(F.array_compact(F.array(*found)))).drop("__words", "__h", "__distinct")
+    out = _settled(out.select("row", F.array_sort(F.array_compact(F.array(*found))).alias("licenses")))
+    return out.select("row.*", "licenses")
+
+
+def _settled(df: DataFrame) -> DataFrame:
+    """The same rows, with every column worked out before a later step uses it.
+
+    Without it the optimizer would put each step into every place of the next that names it, and a filter on the
+    result would repeat the whole of it many times over. It does not reach below a generator, here one that yields the
+    row itself.
+    """
+    return df.select(F.inline(F.array(F.struct(*df.columns))))

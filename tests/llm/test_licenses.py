@@ -1,4 +1,5 @@
 import random
+import time
 
 from text_cases import docs, odd_rows
 
@@ -44,3 +45,16 @@ def test_odd_rows_own_templates_and_clashing_columns(spark):
     got = {(r.doc_id, r.text): [x.name for x in r.licenses] for r in out.collect()}
     assert got[5, "same words here again and again"] == ["mine", "short"] and got[1, None] == got[2, ""] == []
     assert scan(df.limit(0)).count() == 0 and scan(df, {}).filter("size(licenses) > 0").count() == 0
+
+
+def test_a_filter_after_the_scan(spark):
+    """The plan stays small, and a filter on the result runs over thousands of rows in seconds."""
+    names = list(TEMPLATES)
+    texts = [(i, f"start {TEMPLATES[names[i % len(names)]]} end" if i % 4 == 0 else f"plain words {i} and no notice") for i in range(10_000)]
+    df = docs(spark, texts, ["row", "__words", "__h", "__distinct"])
+    found = scan(df).filter("size(licenses) > 0")
+    assert len(found._jdf.queryExecution().optimizedPlan().toString()) < 1_000_000
+    start = time.monotonic()
+    assert found.count() == 2_500
+    assert time.monotonic() - start < 60
+    assert found.columns == [*df.columns, "licenses"]
