@@ -7,8 +7,8 @@
    their rarest values as are needed to meet every partner (prefix filter over the retained values).
 3. Neighbours in sorted lists are compared first: the sketch of the union estimates the similarity, and the full
    sets confirm it. Confirmed links are contracted to components.
-4. What is left are lists that still hold several components. Only pairs across components are compared there,
-   so large groups of copies cost no quadratic number of rows, and no link that joins components is lost.
+4. What is left are lists that still hold several components. Large ones are cut by the size of the sets first. Only
+   pairs across components are compared there, and no link that joins components is lost.
 """
 
 from __future__ import annotations
@@ -221,6 +221,19 @@ def components(links: DataFrame, work: Workspace, label: str) -> DataFrame:
     )
 
 
+def _by_size(members: DataFrame, similarity: float) -> DataFrame:
+    """The lists cut by the size of the sets: classes stay together only with those of a size that can be similar.
+
+    Sizes fall into levels, of which each is 1 / similarity of the one before; linked classes are of one level or of
+    neighbouring ones. The list of a level holds it and the one below. Lists of one component are left out.
+    """
+    level = F.floor(F.log(F.col("n").cast("double")) / -math.log(similarity - 1e-6))
+    cut = members.select(F.explode(F.array(level, level + 1)).alias("level"), "value", "cls", "root")
+    cut = cut.select(F.xxhash64("value", "level").alias("value"), "cls", "root")
+    several = cut.groupBy("value").agg(F.min("root").alias("least"), F.max("root").alias("most")).filter("least <> most")
+    return cut.join(several.select("value"), "value", "left_semi")
+
+
 def _wide_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links across components out of large lists, compared in blocks of bounded size.
 
@@ -334,7 +347,7 @@ def group_near_duplicates(
         links = work.save(_verified(pairs, sets, percent), "links")
         roots = work.save(components(links, work, "round-a"), "roots-a")
         members = (
-            lists.join(roots, "cls", "left").select("value", "cls", F.coalesce("root", "cls").alias("root"))
+            lists.join(roots, "cls", "left").select("value", "cls", "n", F.coalesce("root", "cls").alias("root"))
         )
         members = work.save(members, "members")
         split = (
@@ -343,14 +356,14 @@ def group_near_duplicates(
             .filter("parts > 1")
         )
         split = work.save(split, "split")
-        small = members.join(split.filter(F.col("size") <= SMALL_LIST), "value", "left_semi")
+        small = members.join(split.filter(F.col("size") <= SMALL_LIST), "value", "left_semi").drop("n")
         other = small.select("value", F.col("cls").alias("cls2"), F.col("root").alias("root2"))
         across = small.join(other, "value").filter("cls < cls2 and root <> root2")
         across = across.select(F.col("cls").alias("a"), F.col("cls2").alias("b")).distinct()
         across = across.join(pairs, ["a", "b"], "left_anti")
         across = _estimated(across, reps, similarity, k)
         large = members.join(split.filter(F.col("size") > SMALL_LIST), "value", "left_semi")
-        more = _verified(work.save(across, "across"), sets, percent).unionByName(_wide_links(large, sets, percent))
+        more = _verified(work.save(across, "across"), sets, percent).unionByName(_wide_links(_by_size(large, similarity), sets, percent))
         final = work.save(components(work.save(links.unionByName(more), "all-links"), work, "round-b"), "roots")
         classes = light.filter("cls is not null").groupBy("cls").agg(F.min("id").alias("first"))
         rooted = classes.join(final, "cls", "left").select("cls", "first", F.coalesce("root", "cls").alias("root"))

@@ -71,9 +71,13 @@ def shard(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFr
             return known.withColumns(columns)
 
         counts = located(base).groupBy(*PLACE).agg(F.count("*").alias("c"))
-        # A bounded number of rows for each shard, however many documents there are.
-        before = F.sum("c").over(Window.orderBy(*PLACE).rowsBetween(Window.unboundedPreceding, -1))
-        offsets = work.save(counts.select(*PLACE, F.coalesce(before, F.lit(0)).alias("__before")), "offsets")
+        counts = work.save(counts, "counts")
+        # A bounded number of rows for each shard, however many documents there are, and one row for each shard.
+        before = F.sum("c").over(Window.partitionBy("__to").orderBy(*PLACE[1:])) - F.col("c")
+        whole = counts.groupBy("__to").agg(F.sum("c").alias("all"))
+        first = whole.select("__to", (F.sum("all").over(Window.orderBy("__to")) - F.col("all")).alias("__first"))
+        offsets = counts.withColumn("__in_shard", before).join(first, "__to")
+        offsets = work.save(offsets.select(*PLACE, (F.col("__first") + F.col("__in_shard")).alias("__before")), "offsets")
         work.keep("offsets")
     in_cell = Window.partitionBy(*PLACE).orderBy(*GROUP, "__id")
     numbered = located(keyed).withColumn("__in", F.row_number().over(in_cell) - 1).join(offsets, PLACE)
