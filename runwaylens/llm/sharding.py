@@ -38,7 +38,9 @@ def shard(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFr
     named shard or slot are replaced. The outcome hangs on the rows alone. An empty table gives an empty result.
     """
     plain = docs.drop("shard", "slot")
-    keyed = plain.select(F.struct("*").alias("__row"), F.col("doc_id").alias("__id"), *equal_text_key())
+    # Columns get names of their own, so that none clashes and those that nobody reads are not shuffled.
+    own = {c: f"__c{i}" for i, c in enumerate(plain.columns)}
+    keyed = plain.select(*[F.col(f"`{c}`").alias(n) for c, n in own.items()], F.col("doc_id").alias("__id"), *equal_text_key())
     with Workspace(docs.sparkSession, "sharding") as work:
         base = work.save(keyed.select("__id", *GROUP, start_of("__id", shards).alias("__start")), "base")
         total = base.count()
@@ -88,7 +90,7 @@ def shard(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFr
     in_large = at < edge
     number = F.when(in_large, F.floor(at / (small + 1))).otherwise(large_runs + F.floor((at - edge) / max(1, small)))
     slot = F.when(in_large, at % (small + 1)).otherwise((at - edge) % max(1, small))
-    columns = [F.col(f"__row.`{c}`").alias(c) for c in plain.columns]
+    columns = [F.col(n).alias(c) for c, n in own.items()]
     return numbered.select(*columns, number.cast("int").alias("shard"), slot.cast("long").alias("slot"))
 
 
