@@ -38,8 +38,8 @@ def shard(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFr
     named shard or slot are replaced. The outcome hangs on the rows alone. An empty table gives an empty result.
     """
     plain = docs.drop("shard", "slot")
-    # Columns get names of their own, so that none clashes and those that nobody reads are not shuffled.
-    own = {c: f"__c{i}" for i, c in enumerate(plain.columns)}
+    # Columns get names of their own, so that none clashes, with PLACE neither, and those that nobody reads are not shuffled.
+    own = {c: f"__own{i}" for i, c in enumerate(plain.columns)}
     keyed = plain.select(*[F.col(f"`{c}`").alias(n) for c, n in own.items()], F.col("doc_id").alias("__id"), *equal_text_key())
     with Workspace(docs.sparkSession, "sharding") as work:
         base = work.save(keyed.select("__id", *GROUP, start_of("__id", shards).alias("__start")), "base")

@@ -1,4 +1,5 @@
 import random
+import zlib
 from collections import Counter, defaultdict
 
 from text_cases import SF01, SF001, docs, odd_rows
@@ -61,6 +62,17 @@ def test_slots_are_long_and_shards_int(spark):
     assert (types["slot"], types["shard"], types["size"], types["text_crc32"], types["grown_shard"]) == ("bigint", "int", "bigint", "bigint", "int")
 
 
+def test_every_column_keeps_its_values(spark):
+    """Names of columns in use inside, and enough columns to meet each of them."""
+    df = docs(spark, [(i, f"text {i // 3}") for i in range(300)], ["__c1", "__c2", "__sub", "__to", "__own1"])
+    kept = df.columns
+    assert sorted(map(tuple, shard(df, shards=4).select(*kept).collect()), key=str) == sorted(map(tuple, df.collect()), key=str)
+    table = spark.read.parquet(f"{SF001}/documents.parquet")
+    want = {r.doc_id: (len((r.text or "").encode()) + 16, None if r.text is None else zlib.crc32(r.text.encode())) for r in table.collect()}
+    got = op10_label_propagation_shards(spark, SF001).collect()
+    assert len(got) == len(want) and {r.doc_id: (r["size"], r.text_crc32) for r in got} == want
+
+
 def test_groups_that_fit_are_not_cut(spark):
     """80 groups of 50 rows fill 20 shards of 200 to the last place; groups of 6 and 4 of few rows stay whole."""
     out = shard(docs(spark, [(i, f"group {i // 50}") for i in range(4000)]), shards=20)
