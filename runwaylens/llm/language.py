@@ -1,7 +1,7 @@
 """Language identification with one interpolated Kneser-Ney character model per language.
 
-Counts come from all documents that may be learned from: words are counted for each language first, and character
-n-grams are counted from the distinct words. All n-grams are kept, in one table for each order: an n-gram with each
+Counts and limits come from all documents that may be learned from: words are counted for each language in the task
+that reads them, and character n-grams are counted from the distinct words. All n-grams are kept, in one table for each order: an n-gram with each
 language's discounted probability, and a context with each language's back-off weight. Documents are scored in
 chunks of bounded size, parts of the partitions that they are read in; the distinct n-grams of a chunk meet their
 probabilities in joins, so that neither the driver nor a worker holds the model. A word is scored once in a chunk, a text is the sum of its words, and the language with
@@ -25,8 +25,14 @@ from runwaylens.llm.common import learnable
 from runwaylens.sources.scratch import Workspace
 
 ORDER = 5
-# Documents of the calibration.
-CALIBRATION_DOCS = 4_000
+# Steps of a unit of cross-entropy that limits of rejection tell apart.
+STEPS = 1024
+# Different words of a task between two lists of their n-grams, and words whose n-grams are counted together.
+MOST_WORDS = 200_000
+WORDS_AT_ONCE = 20_000
+# Bits of a character in the key of an n-gram.
+SIGN_BITS = 12
+MOST_SIGNS = (1 << SIGN_BITS) - 1
 # Bytes of text that are scored with one table of n-grams.
 CHUNK_BYTES = 32 << 20
 # Longer words are read in pieces of this length.
@@ -41,7 +47,12 @@ def words_of(token: str) -> list[str]:
     """Runs of letters in a token, lower-cased, in pieces of bounded length."""
     token = token.lower()
     runs = [token] if token.isalpha() else _LETTERS.findall(token)
-    return [r[i : i + PIECE] for r in runs for i in range(0, len(r), PIECE)]
+    return [w for r in runs for w in pieces(r)]
+
+
+def pieces(run: str) -> list[str]:
+    """A run of letters in pieces of bounded length."""
+    return [run] if len(run) <= PIECE else [run[i : i + PIECE] for i in range(0, len(run), PIECE)]
 
 
 def grams_of(word: str) -> list[str]:
@@ -71,7 +82,8 @@ class Prices:
     """Log probabilities of the last character of n-grams: a row of ``logs`` for each, a column per language."""
 
     languages: list[str]
-    place: dict[str, int]
+    keys: Keys
+    place: np.ndarray | dict[str, int]
     logs: np.ndarray
 
     @classmethod
@@ -79,10 +91,18 @@ class Prices:
         grams = table.column("gram").to_pylist()
         flat = [x.values.to_numpy(zero_copy_only=False)[x.offsets[0].as_py() : x.offsets[-1].as_py()] for x in table.column("p").chunks]
         logs = np.concatenate(flat) if flat else np.empty(0)
-        return cls(languages, {g: i for i, g in enumerate(grams)}, logs.reshape(len(grams), len(languages)))
+        logs, keys = logs.reshape(len(grams), len(languages)), Keys("".join(grams))
+        if not keys.fits:
+            return cls(languages, keys, {g: i for i, g in enumerate(grams)}, logs)
+        numbers = keys.of_grams(grams)
+        order = np.argsort(numbers)
+        return cls(languages, keys, numbers[order], logs[order])
 
     def log_probabilities(self, words: list[str]) -> np.ndarray:
-        at = np.array([self.place[g] for w in words for g in grams_of(w)], np.int64)
+        if isinstance(self.place, dict):
+            at = np.array([self.place[g] for w in words for g in grams_of(w)], np.int64)
+        else:
+            at = np.searchsorted(self.place, self.keys.of_words(words))
         size = np.array([len(w) + 1 for w in words])
         return np.add.reduceat(self.logs[at], np.cumsum(size) - size, axis=0)
 
@@ -111,7 +131,7 @@ class Model(Limits):
 class Reader:
     """Cross-entropies of texts, with the values of tokens met before kept in bounded memory."""
 
-    def __init__(self, model: Model | Prices, most: int = 300_000) -> None:
+    def __init__(self, model: Model | Prices, most: int = 400_000) -> None:
         self.model, self.most = model, most
         self._empty()
 
@@ -129,7 +149,7 @@ class Reader:
             self._learn(list(set().union(*docs).difference(self.rows.keys())))
             for i, tokens in enumerate(docs, start):
                 rows = np.fromiter(map(self.rows.__getitem__, tokens), np.int64, len(tokens))
-                sums[i] = self.values.take(rows, 0).sum(0)
+                sums[i] = np.ones(len(rows)) @ self.values.take(rows, 0)
         chars = sums[:, -1]
         return -sums[:, :-1] / np.maximum(chars, 1)[:, None], chars
 
@@ -141,7 +161,7 @@ class Reader:
             self.values = grown
         for start in range(0, len(tokens), 4000):
             part = tokens[start : start + 4000]
-            cut = [words_of(t) for t in part]
+            cut = [pieces(t) for t in part]
             flat = [w for ws in cut for w in ws]
             owner = np.repeat(np.arange(len(part)), [len(ws) for ws in cut])
             sums = np.zeros((len(part), self.values.shape[1]))
@@ -153,128 +173,222 @@ class Reader:
             at += len(part)
 
 
-def _word_counts(docs: DataFrame) -> DataFrame:
-    """(lang, word, c) over all given documents."""
+class Keys:
+    """Exact 60-bit numbers of n-grams over at most ``MOST_SIGNS`` different characters."""
+
+    def __init__(self, signs: str) -> None:
+        self.signs = np.unique(_codes(signs))
+        self.fits = len(self.signs) <= MOST_SIGNS
+        self.number = np.zeros(0x110000, np.int64)
+        self.number[self.signs] = np.arange(1, len(self.signs) + 1)
+
+    def _ending(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For each character: the key of the longest n-gram of its text that ends there, and its place; lengths."""
+        lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+        place = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        number = self.number[_codes("".join(texts))]
+        keys = number.copy()
+        for back in range(1, ORDER):
+            keys[back:] += np.where(place[back:] >= back, number[:-back], 0) << (SIGN_BITS * back)
+        return keys, place, lengths
+
+    def of_words(self, words: list[str]) -> np.ndarray:
+        """What ``grams_of`` lists, word by word."""
+        keys, place, _ = self._ending([f"{_EDGE}{w}{_EDGE}" for w in words])
+        return keys[place > 0]
+
+    def of_grams(self, grams: list[str]) -> np.ndarray:
+        keys, _, lengths = self._ending(grams)
+        return keys[np.cumsum(lengths) - 1]
+
+    def grams(self, keys: np.ndarray) -> list[str]:
+        codes = np.zeros((len(keys), ORDER), np.uint32)
+        length = np.ones(len(keys), np.int64)
+        for back in range(1, ORDER):
+            length[keys >> (SIGN_BITS * back) > 0] = back + 1
+        for n in range(1, ORDER + 1):
+            own = length == n
+            for at in range(n):
+                number = (keys[own] >> (SIGN_BITS * (n - 1 - at))) & MOST_SIGNS
+                codes[own, at] = self.signs[number - 1]
+        return codes.view(f"<U{ORDER}").ravel().tolist()
+
+
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def gram_counts(words: list[str], kinds: np.ndarray, counts: np.ndarray, n_kinds: int) -> tuple[list[str], np.ndarray]:
+    """The distinct n-grams of words, and how often each occurs in words of each kind, of which each counts ``counts`` times."""
+    keys = Keys(_EDGE + "".join(words))
+    if not keys.fits:
+        found: dict[str, np.ndarray] = {}
+        for word, kind, c in zip(words, kinds, counts):
+            for gram in grams_of(word):
+                found.setdefault(gram, np.zeros(n_kinds, np.int64))[kind] += c
+        return list(found), np.array(list(found.values()), np.int64).reshape(len(found), n_kinds)
+    parts, tables = [np.empty(0, np.int64)], [np.empty((0, n_kinds), np.int64)]
+    for start in range(0, len(words), WORDS_AT_ONCE):
+        part = slice(start, start + WORDS_AT_ONCE)
+        distinct, where = np.unique(keys.of_words(words[part]), return_inverse=True)
+        times = np.fromiter(map(len, words[part]), np.int64) + 1
+        cell = where * n_kinds + np.repeat(kinds[part], times)
+        total = np.bincount(cell, np.repeat(counts[part], times), len(distinct) * n_kinds)
+        parts.append(distinct)
+        tables.append(total.astype(np.int64).reshape(len(distinct), n_kinds))
+    distinct, where = np.unique(np.concatenate(parts), return_inverse=True)
+    out = np.zeros((len(distinct), n_kinds), np.int64)
+    np.add.at(out, where, np.concatenate(tables))
+    return keys.grams(distinct), out
+
+
+def _dealt(docs: DataFrame) -> DataFrame:
+    """Rows with ``__chunk``: an input partition, or a part of it by the hash of the text."""
+    sizes = docs.groupBy(F.spark_partition_id().alias("p")).agg(F.sum(F.octet_length("text")).alias("bytes"))
+    parts = max(1, -(-(sizes.agg(F.max("bytes")).first()[0] or 0) // CHUNK_BYTES))
+    part = F.pmod(F.xxhash64("text"), F.lit(parts)) if parts > 1 else F.lit(0)
+    return docs.select("*", (F.spark_partition_id().cast("long") * parts + part).alias("__chunk"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[str, Counter] = {}
 
-        def out() -> pa.RecordBatch:
-            rows = [(lang, t, c) for lang, own in counts.items() for t, c in own.items()]
+def _listed(dealt: DataFrame, teaches: Column) -> DataFrame:
+    """(chunk, gram, told): the n-grams of each chunk, with their counts in texts of each language that ``teaches`` names.
+
+    Texts without such a language are listed without counts. An n-gram of a chunk with very many words may have
+    several rows, whose counts add up.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: dict[int, dict[str | None, Counter]] = {}
+
+        def out() -> Iterator[pa.RecordBatch]:
+            for chunk, own in counts.items():
+                names = [lang for lang in own if lang is not None]
+                kinds = {lang: i for i, lang in enumerate([*names, None])}
+                rows = [(w, kinds[lang], c) for lang, tokens in own.items() for t, c in tokens.items() for w in pieces(t)]
+                words, kind, times = map(list, zip(*rows)) if rows else ([], [], [])
+                grams, table = gram_counts(words, np.array(kind, np.int64), np.array(times, np.int64), len(kinds))
+                gram_at, lang_at = np.nonzero(table[:, : len(names)])
+                offsets = np.searchsorted(gram_at, np.arange(len(grams) + 1)).astype(np.int32)
+                langs = pa.array(names, pa.string()).take(pa.array(lang_at))
+                entries = pa.StructArray.from_arrays([langs, pa.array(table[gram_at, lang_at])], names=["lang", "c"])
+                told = pa.ListArray.from_arrays(pa.array(offsets), entries)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([chunk] * len(grams), pa.int64()), pa.array(grams, pa.string()), told], names=["__chunk", "gram", "told"]
+                )
             counts.clear()
-            columns = list(zip(*rows)) or [[], [], []]
-            types = [pa.string(), pa.string(), pa.int64()]
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["lang", "token", "c"])
 
+        met = 0
         for batch in batches:
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                counts.setdefault(lang, Counter()).update(text.split())
-            if sum(map(len, counts.values())) > 200_000:
-                yield out()
-        yield out()
+            for chunk, lang, text in zip(*(batch.column(i) for i in range(3))):
+                own = counts.setdefault(chunk.as_py(), {}).setdefault(lang.as_py(), Counter())
+                before = len(own)
+                own.update(_LETTERS.findall((text.as_py() or "").lower()))
+                met += len(own) - before
+                if met > MOST_WORDS:
+                    yield from out()
+                    met = 0
+        yield from out()
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            counts: Counter = Counter()
-            for lang, token, c in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                for w in words_of(token):
-                    counts[lang, w] += c
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "lang": pa.array([k[0] for k in counts], pa.string()),
-                    "word": pa.array([k[1] for k in counts], pa.string()),
-                    "c": pa.array(list(counts.values()), pa.int64()),
-                }
-            )
+    schema = "__chunk bigint, gram string, told array<struct<lang: string, c: bigint>>"
+    return dealt.select("__chunk", teaches.alias("lang"), "text").mapInArrow(run, schema)
 
-    tokens = docs.select("lang", "text").mapInArrow(run, "lang string, token string, c bigint")
-    tokens = tokens.groupBy("lang", "token").agg(F.sum("c").alias("c"))
-    words = tokens.mapInArrow(cut, "lang string, word string, c bigint")
-    return words.groupBy("lang", "word").agg(F.sum("c").alias("c"))
 
+def train(docs: DataFrame, fixed_order: bool = False) -> Model | None:
+    """Models of every language that some learnable document with a letter names; None without any.
 
-def _grams(words: DataFrame) -> DataFrame:
-    """(lang, n, gram, c): n-grams of every order, whole words with their edges."""
+    All learnable documents are counted, and the model keeps every n-gram; its tables lie in the shared folder. All of
+    them are scored for the limits of rejection too. Documents without language, text or id teach nothing. ``docs`` is
+    written to the shared folder first, unless ``fixed_order`` says that every scan gives the same partitions.
+    """
+    usable = docs.filter(_teaches("doc_id", "lang").isNotNull()).select("lang", "text")
+    with Workspace(docs.sparkSession, "language") as work:
+        dealt = _dealt(usable if fixed_order else work.save(usable, "texts"))
+        listed = work.save(_listed(dealt, F.col("lang")), "listed")
+        model = _counted(listed, work)
+        if model is not None:
+            model.accept = _accepted(_told(dealt, listed, model, work).select("lang", "entropy", "chars"), model.languages)
+    return model
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            counts: Counter = Counter()
-            for lang, word, c in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                # Shorter n-grams follow from these by their left neighbours.
-                for gram in grams_of(word):
-                    counts[lang, gram] += c
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "lang": pa.array([k[0] for k in counts], pa.string()),
-                    "gram": pa.array([k[1] for k in counts], pa.string()),
-                    "c": pa.array(list(counts.values()), pa.int64()),
-                }
-            )
 
-    return words.mapInArrow(run, "lang string, gram string, c bigint").groupBy("lang", "gram").agg(F.sum("c").alias("c"))
+def _teaches(doc_id: str, lang: str) -> Column:
+    """The language that a document teaches, or NULL."""
+    return F.when(F.col("text").isNotNull() & learnable(F.col(doc_id)), F.col(lang))
+
+
+def _counted(listed: DataFrame, work: Workspace) -> Model | None:
+    """The model of all counts, without limits of rejection yet."""
+    spark = listed.sparkSession
+    grams = listed.select("gram", F.explode("told").alias("o")).groupBy("o.lang", "gram").agg(F.sum("o.c").alias("c"))
+    level = work.save(grams, "grams")
+    # From the highest order down: n-grams that end in the same shorter one each count once there.
+    orders: dict[int, DataFrame] = {}
+    rates: dict[int, dict[str, float]] = {}
+    # Grams at a word's start are shorter than ORDER and keep their counts at their own order.
+    for n in range(ORDER, 0, -1):
+        here = level.filter(F.length("gram") == n)
+        if n < ORDER:
+            longer = orders[n + 1].groupBy("lang", F.expr(f"substr(gram, 2, {n})").alias("gram")).agg(
+                F.count("*").cast("long").alias("c")
+            )
+            here = here.unionByName(longer).groupBy("lang", "gram").agg(F.sum("c").alias("c"))
+        orders[n] = work.save(here, f"order{n}")
+        ones = orders[n].groupBy("lang").agg(
+            F.sum((F.col("c") == 1).cast("long")).alias("n1"), F.sum((F.col("c") == 2).cast("long")).alias("n2")
+        )
+        rates[n] = {r.lang: _discount(r.n1, r.n2) for r in ones.collect()}
+    work.drop("grams")
+    languages = sorted(rates[1])
+    if not languages:
+        return None
+    model = Model(languages, np.full(len(languages), np.inf), spark=spark)
+    for n, above in orders.items():
+        rate = F.lit(0.5)
+        for lang, value in rates[n].items():
+            rate = F.when(F.col("lang") == lang, value).otherwise(rate)
+        cut = F.expr(f"substr(gram, 1, {n - 1})").alias("context")
+        context = above.groupBy("lang", cut).agg(F.sum("c").alias("total"), F.count("*").alias("kinds"))
+        context = work.save(context, f"context{n}")
+        share = rate * F.col("kinds") / F.col("total")
+        if n == 1:
+            signs = max(256, above.select("gram").distinct().count())
+            first = {r.lang: r.share for r in context.select("lang", share.alias("share")).collect()}
+            model.floor = [max(first[lang], 1e-3) / signs for lang in languages]
+        placed = above.select("*", cut).join(context, ["lang", "context"])
+        own = F.greatest(F.col("c") - rate, F.lit(0.0)) / F.col("total")
+        parts = _by_language(placed.select("lang", "gram", own.alias("value")), languages, "part")
+        backs = _by_language(context.select("lang", F.col("context").alias("gram"), share.alias("value")), languages, "back", 1.0)
+        model.part[n], model.back[n] = work.save(parts, f"part{n}"), work.save(backs, f"back{n}")
+        work.keep(f"part{n}")
+        work.keep(f"back{n}")
+        work.drop(f"order{n}", f"context{n}")
+    return model
 
 
-def train(docs: DataFrame, calibration_docs: int = CALIBRATION_DOCS) -> Model | None:
-    """Models of every language that some learnable document with a letter names; None without any.
+def _accepted(told: DataFrame, languages: list[str]) -> np.ndarray:
+    """For each language the highest cross-entropy that is not rejected, from all its documents in ``told``.
 
-    All learnable documents are counted, and the model keeps every n-gram; its tables lie in the shared folder.
-    Documents without language, text or id teach nothing.
+    Cross-entropies are counted in steps of 1 / STEPS, so that a few rows of counts reach the driver, however many
+    documents there are; medians are exact to that step.
     """
-    spark = docs.sparkSession
-    usable = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & learnable(F.col("doc_id")))
-    with Workspace(spark, "language") as work:
-        level = work.save(_grams(_word_counts(usable)), "grams")
-        # From the highest order down: n-grams that end in the same shorter one each count once there.
-        orders: dict[int, DataFrame] = {}
-        rates: dict[int, dict[str, float]] = {}
-        # Grams at a word's start are shorter than ORDER and keep their counts at their own order.
-        for n in range(ORDER, 0, -1):
-            here = level.filter(F.length("gram") == n)
-            if n < ORDER:
-                longer = orders[n + 1].groupBy("lang", F.expr(f"substr(gram, 2, {n})").alias("gram")).agg(
-                    F.count("*").cast("long").alias("c")
-                )
-                here = here.unionByName(longer).groupBy("lang", "gram").agg(F.sum("c").alias("c"))
-            orders[n] = work.save(here, f"order{n}")
-            ones = orders[n].groupBy("lang").agg(
-                F.sum((F.col("c") == 1).cast("long")).alias("n1"), F.sum((F.col("c") == 2).cast("long")).alias("n2")
-            )
-            rates[n] = {r.lang: _discount(r.n1, r.n2) for r in ones.collect()}
-        languages = sorted(rates[1])
-        if not languages:
-            return None
-        model = Model(languages, np.full(len(languages), np.inf), spark=spark)
-        for n, above in orders.items():
-            rate = F.lit(0.5)
-            for lang, value in rates[n].items():
-                rate = F.when(F.col("lang") == lang, value).otherwise(rate)
-            cut = F.expr(f"substr(gram, 1, {n - 1})").alias("context")
-            context = above.groupBy("lang", cut).agg(F.sum("c").alias("total"), F.count("*").alias("kinds"))
-            context = work.save(context, f"context{n}")
-            share = rate * F.col("kinds") / F.col("total")
-            if n == 1:
-                signs = max(256, above.select("gram").distinct().count())
-                first = {r.lang: r.share for r in context.select("lang", share.alias("share")).collect()}
-                model.floor = [max(first[lang], 1e-3) / signs for lang in languages]
-            placed = above.select("*", cut).join(context, ["lang", "context"])
-            own = F.greatest(F.col("c") - rate, F.lit(0.0)) / F.col("total")
-            parts = _by_language(placed.select("lang", "gram", own.alias("value")), languages, "part")
-            backs = _by_language(context.select("lang", F.col("context").alias("gram"), share.alias("value")), languages, "back", 1.0)
-            model.part[n], model.back[n] = work.save(parts, f"part{n}"), work.save(backs, f"back{n}")
-            work.keep(f"part{n}")
-            work.keep(f"back{n}")
-        sample = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(calibration_docs).select("lang", "text")
-        sample = work.save(sample, "sample")
-        told = _told(sample, model, work).select("lang", "entropy", "chars").filter("chars > 0").collect()
-    number = {lang: i for i, lang in enumerate(languages)}
-    own = [[] for _ in languages]
-    for r in told:
-        own[number[r.lang]].append(r.entropy[number[r.lang]])
-    for i, values in enumerate(own):
-        if len(values) > 20:
-            middle = np.median(values)
-            model.accept[i] = middle + 8 * np.median(np.abs(np.array(values) - middle)) + 0.5
-    return model
+    names = F.array(*[F.lit(lang) for lang in languages])
+    own = F.try_element_at("entropy", F.array_position(names, F.col("lang")).cast("int"))
+    steps = told.filter("chars > 0").select("lang", F.round(own * STEPS).cast("long").alias("step"))
+    counts = steps.filter("step is not null").groupBy("lang", "step").agg(F.count("*").alias("c")).toPandas()
+    accept = np.full(len(languages), np.inf)
+    for i, lang in enumerate(languages):
+        mine = counts[counts.lang == lang]
+        values, c = mine.step.to_numpy() / STEPS, mine.c.to_numpy()
+        if c.sum() > 20:
+            middle = _median(values, c)
+            accept[i] = middle + 8 * _median(np.abs(values - middle), c) + 0.5
+    return accept
+
+
+def _median(values: np.ndarray, counts: np.ndarray) -> float:
+    order = np.argsort(values)
+    upto, total = np.cumsum(counts[order]), counts.sum()
+    low, high = np.searchsorted(upto, [(total - 1) // 2, total // 2], side="right")
+    return float(values[order][low] + values[order][high]) / 2
 
 
 def _discount(n1: int, n2: int) -> float:
@@ -312,43 +426,26 @@ def _priced(wanted: DataFrame, model: Model, work: Workspace) -> DataFrame:
     return out.select("gram", F.transform("p", lambda x: F.log(x)).alias("p"))
 
 
-def _told(docs: DataFrame, model: Model, work: Workspace) -> DataFrame:
-    """Every row and column of ``docs`` with ``entropy`` (one value per language) and ``chars`` of its whole text.
+def _told(dealt: DataFrame, listed: DataFrame, model: Model, work: Workspace, columns: list[str] | None = None) -> DataFrame:
+    """The ``columns`` (default: all) of every row, ``entropy`` (one value per language) and ``chars`` of its whole text.
 
-    A chunk is an input partition, or a part of it by the hash of the text, so the n-grams that it needs are listed
-    where the texts are read, and only one pass moves texts. Equal rows of several partitions are in several chunks.
-    ``docs`` must give the same rows in the same partitions each time.
+    The n-grams that a chunk needs are listed where the texts are read, so only one pass moves texts. Equal rows of
+    several partitions are in several chunks. ``dealt`` must give the same rows in the same partitions each time.
     """
-    sizes = docs.groupBy(F.spark_partition_id().alias("p")).agg(F.sum(F.octet_length("text")).alias("bytes"))
-    parts = max(1, -(-(sizes.agg(F.max("bytes")).first()[0] or 0) // CHUNK_BYTES))
-    part = F.pmod(F.xxhash64("text"), F.lit(parts)) if parts > 1 else F.lit(0)
-    dealt = docs.select("*", (F.spark_partition_id().cast("long") * parts + part).alias("__chunk"))
-
-    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens: dict[int, set[str]] = {}
-        for batch in batches:
-            for chunk, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                tokens.setdefault(chunk, set()).update(_LETTERS.findall((text.as_py() or "").lower()))
-        for chunk, own in tokens.items():
-            grams = {g for t in own for w in words_of(t) for g in grams_of(w)}
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([chunk] * len(grams), pa.int64()), pa.array(list(grams), pa.string())], names=["__chunk", "gram"]
-            )
-
+    columns = [c for c in dealt.columns if c != "__chunk"] if columns is None else columns
     languages = model.languages
 
     def summed(texts: pa.Table, prices: pa.Table) -> pa.Table:
         reader = Reader(Prices.of(languages, prices))
         values, chars = reader.read(texts.column("text").to_pylist())
         rows = pa.array(list(values), pa.list_(pa.float64()))
-        return texts.drop_columns(["__chunk"]).append_column("entropy", rows).append_column("chars", pa.array(chars))
+        return texts.select(columns).append_column("entropy", rows).append_column("chars", pa.array(chars))
 
-    needed = dealt.select("__chunk", "text").mapInArrow(listed, "__chunk bigint, gram string")
-    needed = work.save(needed, "needed")
-    priced = needed.join(_priced(needed.select("gram"), model, work), "gram").select("__chunk", "gram", "p")
+    priced = listed.join(_priced(listed.select("gram"), model, work), "gram").select("__chunk", "gram", "p")
     more = [T.StructField("entropy", T.ArrayType(T.DoubleType())), T.StructField("chars", T.DoubleType())]
-    schema = T.StructType([*docs.schema.fields, *more])
-    return dealt.groupBy("__chunk").cogroup(priced.groupBy("__chunk")).applyInArrow(summed, schema)
+    schema = T.StructType([*[dealt.schema[c] for c in columns], *more])
+    needed = dealt.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*columns, "text", "__chunk"])])
+    return needed.groupBy("__chunk").cogroup(priced.groupBy("__chunk")).applyInArrow(summed, schema)
 
 
 def entropies(docs: DataFrame, model: Model, fixed_order: bool = False) -> DataFrame:
@@ -359,11 +456,35 @@ def entropies(docs: DataFrame, model: Model, fixed_order: bool = False) -> DataF
     """
     work = Workspace(docs.sparkSession, "entropies")
     plain = docs.drop("entropy", "chars")
-    told = _told(plain if fixed_order else work.save(plain, "texts"), model, work)
+    dealt = _dealt(plain if fixed_order else work.save(plain, "texts"))
+    listed = work.save(_listed(dealt, F.lit(None).cast("string")), "listed")
+    told = _told(dealt, listed, model, work)
     work.drop("ends", "p1")
     return told
 
 
+def train_and_identify(docs: DataFrame, columns: list[str], fixed_order: bool = False) -> DataFrame:
+    """``identify`` with a model of the documents themselves: each text is listed once and scored once.
+
+    ``docs`` has ``doc_id``, ``text`` and ``lang``; of its columns the result has ``columns``.
+    """
+    own = {c: f"__own{i}" for i, c in enumerate(columns)}
+    plain = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in own.items()], "text", _teaches("doc_id", "lang").alias("lang"))
+    names = {n: c for c, n in own.items()}
+    with Workspace(docs.sparkSession, "language") as work:
+        dealt = _dealt(plain if fixed_order else work.save(plain, "texts"))
+        listed = work.save(_listed(dealt, F.col("lang")), "listed")
+        model = _counted(listed, work)
+        if model is None:
+            return identify(docs.select(*[F.col(f"`{c}`") for c in columns]), None)
+        told = work.save(_told(dealt, listed, model, work, [*names, "lang"]), "told")
+        work.keep("told")
+        model.accept = _accepted(told, model.languages)
+    for n in model.part:
+        work.drop(f"part{n}", f"back{n}")
+    return _decided(told.drop("lang"), model.limits()).withColumnsRenamed(names)
+
+
 def identify(docs: DataFrame, model: Model | None, fixed_order: bool = False) -> DataFrame:
     """Every row and column of ``docs`` with ``lang_pred``, ``lang_score`` (0 to 1) and ``lang_rejected``.
 
@@ -377,9 +498,15 @@ def identify(docs: DataFrame, model: Model | None, fixed_order: bool = False) ->
             {"lang_pred": F.lit("und"), "lang_score": F.lit(0.0), "lang_rejected": F.lit(True)}
         )
 
-    limits, names = model.limits(), plain.columns
     # Columns of the input may have any name but these two.
     told = entropies(plain.withColumnsRenamed({"entropy": "__entropy", "chars": "__chars"}), model, fixed_order)
+    return _decided(told, model.limits()).withColumnsRenamed({"__entropy": "entropy", "__chars": "chars"})
+
+
+def _decided(told: DataFrame, limits: Limits) -> DataFrame:
+    """Rows with the language, its score and the rejection in place of ``entropy`` and ``chars``, the last columns."""
+    kept = told.drop("entropy", "chars")
+    names = kept.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -399,4 +526,4 @@ def identify(docs: DataFrame, model: Model | None, fixed_order: bool = False) ->
         T.StructField("lang_score", T.DoubleType()),
         T.StructField("lang_rejected", T.BooleanType()),
     ]
-    return told.mapInArrow(run, T.StructType([*plain.schema.fields, *more]))
+    return told.mapInArrow(run, T.StructType([*kept.schema.fields, *more]))

@@ -6,15 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from runwaylens.llm.common import held_out, table
-from runwaylens.llm.language import identify, train
+from runwaylens.llm.language import train_and_identify
 from runwaylens.llm.registry import query
 
 
 @query("op9_language_id")
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    model = train(docs.select("doc_id", "text", "lang"))
-    return identify(docs.select("doc_id", "text"), model, fixed_order=True).select(
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return train_and_identify(docs, ["doc_id"], fixed_order=True).select(
         "doc_id",
         held_out(F.col("doc_id")).alias("held_out"),
         "lang_pred",

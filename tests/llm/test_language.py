@@ -1,11 +1,13 @@
 import math
+import random
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 from text_cases import SF01, docs, odd_rows
 
-from runwaylens.llm.language import ORDER, Reader, identify, train, words_of
+from runwaylens.llm import language
+from runwaylens.llm.language import ORDER, Reader, identify, train, train_and_identify, words_of
 
 
 def brute_model(texts):
@@ -117,3 +119,41 @@ def test_a_row_repeated_in_a_third_of_the_table(spark):
     many = docs(spark, some + [some[3]] * 100).repartition(5)
     out = identify(many, model).collect()
     assert len(out) == 300 and all((r.lang_pred, round(r.lang_score, 9)) == alone[r.doc_id, r.text] for r in out)
+
+
+def test_vector_counts_and_keys_equal_plain_ones(monkeypatch):
+    rng = random.Random(4)
+    words = ["".join(rng.choice("abcé漢😀ß") for _ in range(rng.randint(1, 30))) for _ in range(500)]
+    kinds, counts = np.array([rng.randrange(3) for _ in words]), np.array([rng.randint(1, 9) for _ in words])
+    monkeypatch.setattr(language, "WORDS_AT_ONCE", 64)
+    grams, table = language.gram_counts(words, kinds, counts, 3)
+    want = Counter()
+    for w, k, c in zip(words, kinds, counts):
+        for g in language.grams_of(w):
+            want[g, k] += c
+    assert len(set(grams)) == len(grams) and {(g, k): n for g, row in zip(grams, table) for k, n in enumerate(row) if n} == want
+    many = [chr(0x4E00 + i) + "x" for i in range(5000)]
+    grams, table = language.gram_counts(many, np.zeros(5000, int), np.ones(5000, int), 1)
+    assert len(grams) == 15_000 and table.sum() == 15_000
+
+
+def test_limits_come_from_all_documents(spark):
+    """A limit stands on every learnable document: median and spread of all own cross-entropies, not of some."""
+    df = spark.read.parquet(f"{SF01}/documents.parquet")
+    full = train(df)
+    rows = [r for r in df.collect() if r.text and r.lang and zlib.crc32(str(r.doc_id).encode()) % 3 != 1]
+    values, chars = Reader(full).read([r.text for r in rows])
+    for i, lang in enumerate(full.languages):
+        own = np.array([v[i] for r, v, c in zip(rows, values, chars) if r.lang == lang and c])
+        middle = np.median(own)
+        want = middle + 8 * np.median(np.abs(own - middle)) + 0.5 if len(own) > 20 else np.inf
+        assert want == full.accept[i] or abs(want - full.accept[i]) < 9 / language.STEPS
+    told = spark.createDataFrame([("en", [i / 5000], 1.0) for i in range(5001)], "lang string, entropy array<double>, chars double")
+    assert abs(language._accepted(told, ["en"])[0] - (0.5 + 8 * 0.25 + 0.5)) < 0.01
+
+
+def test_one_listing_equals_two_steps(spark):
+    df = spark.read.parquet(f"{SF01}/documents.parquet").select("doc_id", "text", "lang")
+    shape = lambda out: {(r.doc_id, r.lang_pred, round(r.lang_score, 6), r.lang_rejected) for r in out.collect()}
+    assert shape(train_and_identify(df, ["doc_id"])) == shape(identify(df, train(df)))
+    assert train_and_identify(df.limit(0), ["doc_id"]).count() == 0
