@@ -27,8 +27,9 @@ from runwaylens.sources.scratch import Workspace
 ORDER = 5
 # Steps of a unit of cross-entropy that limits of rejection tell apart.
 STEPS = 1024
-# Different words of a task between two lists of their n-grams, and words whose n-grams are counted together.
+# Different words of a task whose n-grams are not counted yet, n-grams not given out yet, and words counted together.
 MOST_WORDS = 200_000
+MOST_GRAMS = 1_000_000
 WORDS_AT_ONCE = 20_000
 # Bits of a character in the key of an n-gram.
 SIGN_BITS = 12
@@ -90,7 +91,7 @@ class Prices:
     def of(cls, languages: list[str], table: pa.Table) -> Prices:
         grams = table.column("gram").to_pylist()
         flat = [x.values.to_numpy(zero_copy_only=False)[x.offsets[0].as_py() : x.offsets[-1].as_py()] for x in table.column("p").chunks]
-        logs = np.concatenate(flat) if flat else np.empty(0)
+        logs = np.concatenate(flat).astype(float) if flat else np.empty(0)
         logs, keys = logs.reshape(len(grams), len(languages)), Keys("".join(grams))
         if not keys.fits:
             return cls(languages, keys, {g: i for i, g in enumerate(grams)}, logs)
@@ -258,35 +259,51 @@ def _listed(dealt: DataFrame, teaches: Column) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[int, dict[str | None, Counter]] = {}
+        words: dict[int, dict[str | None, Counter]] = {}
+        grams: dict[int, dict[str, Counter]] = {}
+
+        def cut() -> None:
+            """N-grams of the words met so far."""
+            for chunk, own in words.items():
+                kinds = {lang: i for i, lang in enumerate(own)}
+                flat = [w for tokens in own.values() for t in tokens for w in pieces(t)]
+                times = [c for tokens in own.values() for t, c in tokens.items() for _ in pieces(t)]
+                kind = [kinds[lang] for lang, tokens in own.items() for t in tokens for _ in pieces(t)]
+                found, table = gram_counts(flat, np.array(kind, np.int64), np.array(times, np.int64), len(kinds))
+                sums = grams.setdefault(chunk, {})
+                for lang, i in kinds.items():
+                    at = np.flatnonzero(table[:, i])
+                    sums.setdefault(lang, Counter()).update(dict(zip([found[k] for k in at], table[at, i].tolist())))
+            words.clear()
 
         def out() -> Iterator[pa.RecordBatch]:
-            for chunk, own in counts.items():
-                names = [lang for lang in own if lang is not None]
-                kinds = {lang: i for i, lang in enumerate([*names, None])}
-                rows = [(w, kinds[lang], c) for lang, tokens in own.items() for t, c in tokens.items() for w in pieces(t)]
-                words, kind, times = map(list, zip(*rows)) if rows else ([], [], [])
-                grams, table = gram_counts(words, np.array(kind, np.int64), np.array(times, np.int64), len(kinds))
-                gram_at, lang_at = np.nonzero(table[:, : len(names)])
-                offsets = np.searchsorted(gram_at, np.arange(len(grams) + 1)).astype(np.int32)
+            for chunk, sums in grams.items():
+                names = [lang for lang in sums if lang is not None]
+                listed = list(set().union(*sums.values()))
+                table = np.array([[sums[lang][g] for g in listed] for lang in names], np.int64).reshape(len(names), len(listed)).T
+                gram_at, lang_at = np.nonzero(table)
+                offsets = np.searchsorted(gram_at, np.arange(len(listed) + 1)).astype(np.int32)
                 langs = pa.array(names, pa.string()).take(pa.array(lang_at))
                 entries = pa.StructArray.from_arrays([langs, pa.array(table[gram_at, lang_at])], names=["lang", "c"])
                 told = pa.ListArray.from_arrays(pa.array(offsets), entries)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([chunk] * len(grams), pa.int64()), pa.array(grams, pa.string()), told], names=["__chunk", "gram", "told"]
+                    [pa.array([chunk] * len(listed), pa.int64()), pa.array(listed, pa.string()), told], names=["__chunk", "gram", "told"]
                 )
-            counts.clear()
+            grams.clear()
 
         met = 0
         for batch in batches:
             for chunk, lang, text in zip(*(batch.column(i) for i in range(3))):
-                own = counts.setdefault(chunk.as_py(), {}).setdefault(lang.as_py(), Counter())
+                own = words.setdefault(chunk.as_py(), {}).setdefault(lang.as_py(), Counter())
                 before = len(own)
                 own.update(_LETTERS.findall((text.as_py() or "").lower()))
                 met += len(own) - before
                 if met > MOST_WORDS:
-                    yield from out()
+                    cut()
                     met = 0
+                    if sum(len(c) for sums in grams.values() for c in sums.values()) > MOST_GRAMS:
+                        yield from out()
+        cut()
         yield from out()
 
     schema = "__chunk bigint, gram string, told array<struct<lang: string, c: bigint>>"
@@ -423,7 +440,8 @@ def _priced(wanted: DataFrame, model: Model, work: Workspace) -> DataFrame:
     out = below[1]
     for more in below[2:]:
         out = out.unionByName(more)
-    return out.select("gram", F.transform("p", lambda x: F.log(x)).alias("p"))
+    # In single precision, as every chunk gets its own copies; the sums are of double precision.
+    return out.select("gram", F.transform("p", lambda x: F.log(x).cast("float")).alias("p"))
 
 
 def _told(dealt: DataFrame, listed: DataFrame, model: Model, work: Workspace, columns: list[str] | None = None) -> DataFrame:
