@@ -5,9 +5,10 @@ from datetime import date
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from runwaylens.schema import FACT_COLUMNS, MISSING_TOKENS
-from runwaylens.sources.inference import KINDS, TYPES, inferred_types, kind_counts, read_inferred_csv, with_inferred_types
+from runwaylens.sources.inference import KINDS, TYPES, cell_kind, inferred_types, kind_counts, read_inferred_csv, typed_cell, with_inferred_types
 
 
 def kind(cell):
@@ -81,3 +82,13 @@ def test_one_scan_whatever_the_columns(spark):
     assert found.rows.schema["a.b"].dataType.simpleString() == "bigint" and dict(found.rows.dtypes)["n"] == "int"
     empty = with_inferred_types(df.limit(0))
     assert {t for _, t in empty.rows.dtypes} == {"string"} and empty.report.filter("cells = 0").count() == len(FACT_COLUMNS)
+
+
+def test_a_kind_is_worked_out_once_for_each_different_cell(spark):
+    """Equal cells are counted before their kind is asked for, and a typed cell is what its kind says."""
+    df = spark.createDataFrame([(CELLS[i % 18], f" {CELLS[i % 7]}\t") for i in range(400)], "a string, b string")
+    plan = kind_counts(df)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"keys=\[at#\d+, cell#\d+\]", plan)
+    for name, (held, storage) in list(TYPES.items())[:4]:
+        got = df.select(typed_cell(F.col("a"), name).alias("x"), F.when(cell_kind(F.col("a")).isin(*held), F.trim("a")).try_cast(storage).alias("y"))
+        assert got.filter("not (x <=> y)").count() == 0
