@@ -7,8 +7,10 @@
    their rarest values as are needed to meet every partner (prefix filter over the retained values).
 3. Neighbours in sorted lists are compared first: the sketch of the union estimates the similarity, and the full
    sets confirm it. Confirmed links are contracted to components.
-4. What is left are lists that still hold several components. Large ones are cut by the size of the sets first. Only
-   pairs across components are compared there, and no link that joins components is lost.
+4. What is left are lists that still hold several components. The classes of large ones get new lists, from their full
+   sets: a shingle that only one component holds links nothing, so a class with too few others leaves, and the others
+   keep as many of their rarest ones as are needed to meet every partner. Lists that are still large are cut by the
+   size of the sets. Only pairs across components are compared there, and no link that joins components is lost.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,6 +36,8 @@ LISTED = 32
 # Lists of up to so many classes are joined with themselves; larger ones are compared in blocks of BLOCK classes.
 SMALL_LIST = 50
 BLOCK = 512
+# Shingles of full sets that a task lists.
+LISTED_AT_ONCE = 25_000
 # A true link is missed by a sketch test with less than this probability.
 MISS = 1e-9
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15))
@@ -221,6 +225,42 @@ def components(links: DataFrame, work: Workspace, label: str) -> DataFrame:
     )
 
 
+def _rare_lists(large: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(value, cls, n, root): the classes of large lists, in lists of their rarest shingles instead.
+
+    A partner in another component shares ``percent`` of a class's shingles at least, all of them held by more than one
+    component. Of these a class keeps its rarest, so many that fewer than it must share are left; two partners then
+    keep their rarest common one both. Exact, as it reads the full sets.
+    """
+    classes = large.select("cls", "root", "n").distinct()
+    total = classes.agg(F.sum("n")).first()[0] or 0
+    tasks = total // LISTED_AT_ONCE + large.sparkSession.sparkContext.defaultParallelism
+    crowd = classes.join(sets, "cls").repartition(tasks)
+    each = crowd.select("cls", "root", "n", F.explode("shingles").alias("value"))
+    held = Window.partitionBy("value")
+    counted = each.withColumns(
+        {"f": F.count("*").over(held), "least": F.min("root").over(held), "most": F.max("root").over(held)}
+    )
+    mine = (
+        counted.filter("least <> most")
+        .groupBy("cls", "root", "n")
+        .agg(F.array_sort(F.collect_list(F.struct("f", "value"))).alias("own"))  # the shingles of one text at most
+    )
+    needed = F.expr(f"cast((n * {percent} + 99) div 100 as int)")
+    spare = F.size("own") - needed + 1
+    kept = mine.filter(spare > 0).select("cls", "root", "n", F.explode(F.slice("own", F.lit(1), spare)).alias("o"))
+    return kept.select(F.col("o.value").alias("value"), "cls", "n", "root")
+
+
+def _split(members: DataFrame) -> DataFrame:
+    """(value, parts, size) of the lists that hold several components."""
+    return (
+        members.groupBy("value", "root").agg(F.count("*").alias("c"))
+        .groupBy("value").agg(F.count("*").alias("parts"), F.sum("c").alias("size"))
+        .filter("parts > 1")
+    )
+
+
 def _by_size(members: DataFrame, similarity: float) -> DataFrame:
     """The lists cut by the size of the sets: classes stay together only with those of a size that can be similar.
 
@@ -350,19 +390,19 @@ def group_near_duplicates(
             lists.join(roots, "cls", "left").select("value", "cls", "n", F.coalesce("root", "cls").alias("root"))
         )
         members = work.save(members, "members")
-        split = (
-            members.groupBy("value", "root").agg(F.count("*").alias("c"))
-            .groupBy("value").agg(F.count("*").alias("parts"), F.sum("c").alias("size"))
-            .filter("parts > 1")
+        split = work.save(_split(members), "split")
+        crowded = members.join(split.filter(F.col("size") > SMALL_LIST), "value", "left_semi")
+        rare = work.save(_rare_lists(crowded, sets, percent), "rare")
+        rare_split = work.save(_split(rare), "rare-split")
+        large = rare.join(rare_split.filter(F.col("size") > SMALL_LIST), "value", "left_semi")
+        small = members.join(split.filter(F.col("size") <= SMALL_LIST), "value", "left_semi").drop("n").unionByName(
+            rare.join(rare_split.filter(F.col("size") <= SMALL_LIST), "value", "left_semi").drop("n")
         )
-        split = work.save(split, "split")
-        small = members.join(split.filter(F.col("size") <= SMALL_LIST), "value", "left_semi").drop("n")
         other = small.select("value", F.col("cls").alias("cls2"), F.col("root").alias("root2"))
         across = small.join(other, "value").filter("cls < cls2 and root <> root2")
         across = across.select(F.col("cls").alias("a"), F.col("cls2").alias("b")).distinct()
         across = across.join(pairs, ["a", "b"], "left_anti")
         across = _estimated(across, reps, similarity, k)
-        large = members.join(split.filter(F.col("size") > SMALL_LIST), "value", "left_semi")
         more = _verified(work.save(across, "across"), sets, percent).unionByName(_wide_links(_by_size(large, similarity), sets, percent))
         final = work.save(components(work.save(links.unionByName(more), "all-links"), work, "round-b"), "roots")
         classes = light.filter("cls is not null").groupBy("cls").agg(F.min("id").alias("first"))

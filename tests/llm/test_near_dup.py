@@ -70,6 +70,29 @@ def test_large_drifting_groups_and_shared_passages_lose_no_link(spark, monkeypat
     assert grouped(docs(spark, rows)) == want
 
 
+def test_far_copies_of_one_text_are_not_compared_in_blocks(spark, monkeypatch):
+    """Copies that share a base, but too little of it for a link, and a few that are linked."""
+    rng = random.Random(11)
+    base = [f"w{i}" for i in range(200)]
+    texts = []
+    for i in range(600):
+        text = list(base)
+        for at in range(i % 20, 200, 20):
+            text[at] = f"e{rng.randrange(10**9)}"
+        texts.append(" ".join(text))
+    texts += drifting(20, 100, 1, 12)
+    rows, compared = list(enumerate(texts)), []
+    wide = near_dup._wide_links
+
+    def counted(members, *rest):
+        compared.append(members.count())
+        return wide(members, *rest)
+
+    monkeypatch.setattr(near_dup, "_wide_links", counted)
+    assert grouped(docs(spark, rows)) == brute(rows, 85)
+    assert sum(compared) <= len(rows)
+
+
 def test_one_document_of_each_group_stays(spark):
     own = list(enumerate(drifting(30, 60, 1, 4), 100)) + [(150, "other words " * 9), (151, "other words " * 9)]
     df = docs(spark, own + odd_rows(), ["cls", "root", "id"])
