@@ -17,11 +17,12 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from runwaylens.llm.common import learnable
+from runwaylens.llm.common import learnable, small_batches
 from runwaylens.sources.scratch import Workspace
 
 ORDER = 5
@@ -36,6 +37,8 @@ SIGN_BITS = 12
 MOST_SIGNS = (1 << SIGN_BITS) - 1
 # Bytes of text that are scored with one table of n-grams.
 CHUNK_BYTES = 32 << 20
+# Rows that are packed together on their way to the chunk's n-grams.
+PACKED = 1024
 # Longer words are read in pieces of this length.
 PIECE = 30
 # Texts whose new tokens are scored together.
@@ -444,26 +447,50 @@ def _priced(wanted: DataFrame, model: Model, work: Workspace) -> DataFrame:
     return out.select("gram", F.transform("p", lambda x: F.log(x).cast("float")).alias("p"))
 
 
+def _packed(dealt: DataFrame) -> DataFrame:
+    """(chunk, pack): the other columns of ``dealt``, some rows of one chunk at a time, as compressed Arrow streams."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        options = pa.ipc.IpcWriteOptions(compression="zstd")
+        for batch in small_batches(batches, PACKED):
+            at = batch.schema.get_field_index("__chunk")
+            chunks = batch.column(at)
+            kept = pa.Table.from_batches([batch]).remove_column(at)
+            for chunk in chunks.unique():
+                own = kept.filter(pc.equal(chunks, chunk))
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, own.schema, options=options) as stream:
+                    stream.write_table(own)
+                packs = pa.array([sink.getvalue().to_pybytes()], pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array([chunk.as_py()], pa.int64()), packs], names=["__chunk", "pack"])
+
+    return dealt.mapInArrow(run, "__chunk bigint, pack binary")
+
+
 def _told(dealt: DataFrame, listed: DataFrame, model: Model, work: Workspace, columns: list[str] | None = None) -> DataFrame:
     """The ``columns`` (default: all) of every row, ``entropy`` (one value per language) and ``chars`` of its whole text.
 
-    The n-grams that a chunk needs are listed where the texts are read, so only one pass moves texts. Equal rows of
-    several partitions are in several chunks. ``dealt`` must give the same rows in the same partitions each time.
+    The n-grams that a chunk needs are listed where the texts are read, so only one pass moves texts, and these are
+    packed. Equal rows of several partitions are in several chunks. ``dealt`` must give the same rows in the same partitions each time.
     """
     columns = [c for c in dealt.columns if c != "__chunk"] if columns is None else columns
     languages = model.languages
 
-    def summed(texts: pa.Table, prices: pa.Table) -> pa.Table:
+    def summed(packs: pa.Table, prices: pa.Table) -> pa.Table:
         reader = Reader(Prices.of(languages, prices))
-        values, chars = reader.read(texts.column("text").to_pylist())
-        rows = pa.array(list(values), pa.list_(pa.float64()))
-        return texts.select(columns).append_column("entropy", rows).append_column("chars", pa.array(chars))
+        parts = []
+        for pack in packs.column("pack"):
+            texts = pa.ipc.open_stream(pack.as_buffer()).read_all()
+            values, chars = reader.read(texts.column("text").to_pylist())
+            rows = pa.array(list(values), pa.list_(pa.float64()))
+            parts.append(texts.select(columns).append_column("entropy", rows).append_column("chars", pa.array(chars)))
+        return pa.concat_tables(parts)  # every chunk has texts
 
     priced = listed.join(_priced(listed.select("gram"), model, work), "gram").select("__chunk", "gram", "p")
     more = [T.StructField("entropy", T.ArrayType(T.DoubleType())), T.StructField("chars", T.DoubleType())]
     schema = T.StructType([*[dealt.schema[c] for c in columns], *more])
     needed = dealt.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*columns, "text", "__chunk"])])
-    return needed.groupBy("__chunk").cogroup(priced.groupBy("__chunk")).applyInArrow(summed, schema)
+    return _packed(needed).groupBy("__chunk").cogroup(priced.groupBy("__chunk")).applyInArrow(summed, schema)
 
 
 def entropies(docs: DataFrame, model: Model, fixed_order: bool = False) -> DataFrame:

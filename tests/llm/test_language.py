@@ -4,6 +4,8 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
+from pyspark.sql import functions as F
 from text_cases import SF01, docs, odd_rows
 
 from runwaylens.llm import language
@@ -157,3 +159,14 @@ def test_one_listing_equals_two_steps(spark):
     shape = lambda out: {(r.doc_id, r.lang_pred, round(r.lang_score, 6), r.lang_rejected) for r in out.collect()}
     assert shape(train_and_identify(df, ["doc_id"])) == shape(identify(df, train(df)))
     assert train_and_identify(df.limit(0), ["doc_id"]).count() == 0
+
+
+def test_texts_move_packed(spark):
+    """All rows come out of the packs as they went in, each in its chunk, and the packs are much smaller than the texts."""
+    df = spark.read.parquet(f"{SF01}/documents.parquet").select("doc_id", "text", "lang")
+    df = df.unionByName(docs(spark, odd_rows()).select("doc_id", "text", "lang"))
+    df = df.withColumn("__chunk", F.pmod(F.xxhash64("text"), F.lit(3)))
+    packs = language._packed(df).collect()
+    rows = [(p["__chunk"], *r.values()) for p in packs for r in pa.ipc.open_stream(p.pack).read_all().to_pylist()]
+    assert sorted(rows, key=str) == sorted([(r["__chunk"], r.doc_id, r.text, r.lang) for r in df.collect()], key=str)
+    assert 2 * sum(len(p.pack) for p in packs) < sum(len((r.text or "").encode()) for r in df.collect())
