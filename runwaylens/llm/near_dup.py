@@ -6,7 +6,8 @@
    values, so a class with too few values in common with anybody leaves, and the others keep only as many of
    their rarest values as are needed to meet every partner (prefix filter over the retained values).
 3. Neighbours in sorted lists are compared first: the sketch of the union estimates the similarity, and the full
-   sets confirm it. Confirmed links are contracted to components.
+   sets confirm it. Members of large lists meet in one sweep for all lists, so that no pair is made once for each list.
+   Confirmed links are contracted to components.
 4. What is left are lists that still hold several components. The classes of large ones get new lists, from their full
    sets: a shingle that only one component holds links nothing, so a class with too few others leaves, and the others
    keep as many of their rarest ones as are needed to meet every partner. Lists that are still large are cut by the
@@ -16,6 +17,7 @@
 from __future__ import annotations
 
 import math
+from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -169,6 +171,52 @@ def _neighbours(lists: DataFrame, reps: DataFrame, width: int = 3) -> DataFrame:
     return ordered.mapInArrow(run, "a binary, b binary").distinct()
 
 
+def _swept(lists: DataFrame, reps: DataFrame, work: Workspace, similarity: float, k: int, width: int = 3) -> DataFrame:
+    """Pairs (a, b) of classes near each other in large lists, without those that the sketch of the union rules out.
+
+    Members of large lists share many of them. So a class comes once, with all its lists, in the order of the sketches,
+    and meets the last ``width`` classes before it in each of them: a pair is tested once, however many lists hold it.
+    Tasks cut the lists, so all classes come a second time, in an order by other hashes, which is cut elsewhere.
+    """
+    own = lists.groupBy("cls").agg(F.collect_list("value").alias("own"))  # LISTED values at most
+    own = work.save(own.join(reps, "cls"), "own-large")
+    first = F.slice("sketch", 1, LISTED)
+    orders = F.array(first, F.array_sort(F.transform(first, lambda v: F.xxhash64(v))))
+    ordered = own.select(F.posexplode(orders).alias("turn", "order"), "cls", "n", "sketch", "own")
+    ordered = ordered.repartitionByRange("turn", "order", "cls").sortWithinPartitions("turn", "order", "cls")
+
+    least = least_shared(k, similarity)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = {}
+        for batch in small_batches(batches):
+            pairs = []
+            for turn, cls, n, sketch, values in zip(*(c.to_pylist() for c in batch.columns)):
+                this, met = (cls, n, np.array(sketch, np.int64)), {}
+                for v in values:
+                    line = last.setdefault((turn, v), deque(maxlen=width))
+                    met.update((other[0], other) for other in line)
+                    line.append(this)
+                near = [c for c, m, s in met.values() if _near(n, this[2], m, s, similarity, k, least)]
+                pairs += [(min(cls, c), max(cls, c)) for c in near]
+            yield pa.RecordBatch.from_pydict(
+                {"a": pa.array([p[0] for p in pairs], pa.binary()), "b": pa.array([p[1] for p in pairs], pa.binary())}
+            )
+
+    return ordered.select("turn", "cls", "n", "sketch", "own").mapInArrow(run, "a binary, b binary").distinct()
+
+
+def _near(na: int, sa: np.ndarray, nb: int, sb: np.ndarray, similarity: float, k: int, least: int) -> bool:
+    """The test of ``_estimated`` for one pair of set sizes and sketches."""
+    if min(na, nb) < max(na, nb) * similarity - 1e-6:
+        return False
+    both = np.intersect1d(sa, sb, assume_unique=True)
+    if na <= k and nb <= k:
+        return len(both) * (1 + similarity) >= (na + nb) * similarity - 1e-6
+    last = np.union1d(sa, sb)[:k][-1]
+    return np.searchsorted(both, last, "right") >= least
+
+
 def _estimated(pairs: DataFrame, reps: DataFrame, similarity: float, k: int) -> DataFrame:
     """The pairs that the sketch of the union does not rule out."""
     side = {
@@ -377,7 +425,12 @@ def group_near_duplicates(
         )
         lists = _value_lists(reps, similarity)
         lists = work.save(lists.select("value", "cls", "n"), "lists")
-        pairs = work.save(_estimated(_neighbours(lists, reps), reps, similarity, k), "pairs")
+        shared = lists.groupBy("value").agg(F.count("*").alias("f")).filter(F.col("f") > SMALL_LIST).select("value")
+        shared = work.save(shared, "shared")
+        near = _estimated(_neighbours(lists.join(shared, "value", "left_anti"), reps), reps, similarity, k)
+        swept = _swept(lists.join(shared, "value", "left_semi"), reps, work, similarity, k)
+        pairs = work.save(near.unionByName(swept).distinct(), "pairs")
+        work.drop("own-large")
         # Full sets, of those classes only that stand in some list with another class.
         busy = lists.groupBy("value").agg(F.count("*").alias("f")).filter("f > 1").select("value")
         wanted = lists.join(busy, "value", "left_semi").select("cls").distinct()

@@ -93,6 +93,50 @@ def test_far_copies_of_one_text_are_not_compared_in_blocks(spark, monkeypatch):
     assert sum(compared) <= len(rows)
 
 
+def test_lists_of_a_large_group_make_few_pairs_of_neighbours(spark, monkeypatch):
+    """Far copies of one text share most of their lists; pairs are not made once for each list."""
+    monkeypatch.setattr(near_dup, "SMALL_LIST", 10)
+    rng = random.Random(13)
+    base, texts = [f"w{i}" for i in range(300)], drifting(30, 100, 1, 14)
+    for _ in range(400):
+        text = list(base)
+        for at in rng.sample(range(300), 20):
+            text[at] = f"e{rng.randrange(10**9)}"
+        texts.append(" ".join(text))
+    rows, made = list(enumerate(texts)), []
+    kind = type(docs(spark, rows))
+    plain = kind.mapInArrow
+
+    def counted(df, func, schema, *rest):
+        out = plain(df, func, schema, *rest)
+        if schema == "a binary, b binary":
+            made.append(out.count())
+        return out
+
+    monkeypatch.setattr(kind, "mapInArrow", counted)
+    assert grouped(docs(spark, rows), 80) == brute(rows, 80)
+    assert 0 < sum(made) <= 4 * len(rows)
+
+
+def test_one_pair_of_sketches_is_tested_as_the_joined_ones_are(spark):
+    rng = random.Random(15)
+    texts = [t for i in range(12) for t in drifting(6, rng.choice([9, 40, 68, 70, 72, 90, 200]), 2, i)]
+    sets = [near_dup.shingle_set(t) for t in texts]
+    names = [i.to_bytes(2, "big") for i in range(len(sets))]
+    rows = [(c, len(s), s[: near_dup.K].tolist()) for c, s in zip(names, sets)]
+    reps = spark.createDataFrame(rows, "cls binary, n bigint, sketch array<bigint>")
+    pairs = reps.selectExpr("cls as a").join(reps.selectExpr("cls as b")).filter("a < b")
+    want = {(bytes(r.a), bytes(r.b)) for r in near_dup._estimated(pairs, reps, 0.8, near_dup.K).collect()}
+    least = least_shared(near_dup.K, 0.8)
+    got = {
+        (names[i], names[j])
+        for j in range(len(sets))
+        for i in range(j)
+        if near_dup._near(rows[i][1], sets[i][: near_dup.K], rows[j][1], sets[j][: near_dup.K], 0.8, near_dup.K, least)
+    }
+    assert got == want and 0 < len(got) < len(sets) ** 2 / 4
+
+
 def test_one_document_of_each_group_stays(spark):
     own = list(enumerate(drifting(30, 60, 1, 4), 100)) + [(150, "other words " * 9), (151, "other words " * 9)]
     df = docs(spark, own + odd_rows(), ["cls", "root", "id"])
